@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ BAND_RATIO = 1.4
 #: Cost of handling one key, and of verifying one chance pair in units of it; odds that a foreign shingle is shared.
 PAIR_COST, REUSE = 20.0, 0.05
 BLOOM_BITS = 1 << 26
+#: 64-bit words of the parity sketch of a set.
+SKETCH = 16
 
 
 class Scheme:
@@ -86,18 +90,25 @@ class Scheme:
         return np.unique(np.concatenate(out)) if out else hashes[:0]
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Bit i is the parity of the number of hashes that fall on i. Two sets differ in at least as many elements as their parities differ in bits."""
+    odd = np.bincount((hashes & U(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(scheme: Scheme, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, rows = words(part.column("text"))
-                size, one, two, keys = [], [], [], []
+                size, one, two, keys, sketch = [], [], [], [], []
                 for i in range(part.num_rows):
                     s = np.unique(shingles(hashes[rows[i] : rows[i + 1]], n))
                     size.append(len(s))
                     one.append(mix(s).sum(dtype=np.uint64) if len(s) else 0)
                     two.append(mix(s ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) if len(s) else 0)
                     keys.append(scheme.keys(s).view(np.int64))
+                    sketch.append(parities(s))
                 ends = np.cumsum([0, *map(len, keys)])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -106,8 +117,9 @@ def _signatures(scheme: Scheme, n: int):
                         pa.array(np.array(one, dtype=np.uint64).view(np.int64)),
                         pa.array(np.array(two, dtype=np.uint64).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * SKETCH, pa.int32()), pa.array(np.concatenate(sketch))),
                     ],
-                    names=["doc_id", "n", "h1", "h2", "keys"],
+                    names=["doc_id", "n", "h1", "h2", "keys", "sketch"],
                 )
 
     return run
@@ -186,8 +198,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scheme = Scheme(percent, docs.count())
-    signed = written(base.mapInArrow(_signatures(scheme, n), "doc_id long, n long, h1 long, h2 long, keys array<long>"), "signatures")
-    classes = written(signed.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys")).where("node is not null"), "classes")
+    signed = written(base.mapInArrow(_signatures(scheme, n), "doc_id long, n long, h1 long, h2 long, keys array<long>, sketch array<long>"), "signatures")
+    classes = written(signed.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"), F.min("sketch").alias("sketch")).where("node is not null"), "classes")
     whole = signed.select("doc_id", "n", "h1", "h2")
 
     entries = classes.select("node", "n", F.explode("keys").alias("key"))
@@ -213,9 +225,11 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     # Members of an entry that are still in different components meet each other.
     named = members.join(comps, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
     apart = written(named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "apart")
-    left = written(named.join(apart, "key"), "left")
-    other = left.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"))
-    rest = left.join(other, (left["key"] == other["key"]) & (F.col("comp") < F.col("other")) & near).select(F.col("node").alias("a"), "b")
+    left = written(named.join(apart, "key").join(classes.select("node", "sketch"), "node"), "left")
+    other = left.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("sketch").alias("s"))
+    differ = reduce(add, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("s")[i])) for i in range(SKETCH)])
+    alike = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+    rest = left.join(other, (F.col("key") == F.col("k")) & (F.col("comp") < F.col("other")) & near & alike).select(F.col("node").alias("a"), "b")
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = written(rest.distinct().join(done, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
