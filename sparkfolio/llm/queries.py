@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .decontamination import op9_decontamination
+from .line_dedup import op7_line_dedup
 from .mixing import op2_mixing
 from .ngram_join import op1_ngram_jaccard_join
 from .pii import op3_pii
+from .quality import op10_quality
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_mixing, op3_pii)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_mixing, op3_pii, op7_line_dedup, op9_decontamination, op10_quality)}
 
 ORACLE_SQL: dict[str, str] = {}
