@@ -57,6 +57,11 @@ def position(done: Column, slope: Column) -> Column:
     return F.when(slope == 0, done).otherwise(2 * done / (1 + slope + root))
 
 
+def row_mark(docs: DataFrame, seed: int = SEED) -> Column:
+    """A hash of a row's id, source and text: equal rows share it."""
+    return F.xxhash64(docs["doc_id"].cast("string"), docs["source"].cast("string"), F.coalesce(docs["text"].cast("string"), F.lit("")), F.lit(seed))
+
+
 def mixed(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -76,8 +81,7 @@ def mixed(
     is found again. Other columns are not read.
     """
     spark = docs.sparkSession
-    mark = F.xxhash64(F.col("doc_id").cast("string"), F.col("source").cast("string"), F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(seed))
-    base = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), mark.alias("mark"), n_words(F.col("text").cast("string")).alias("size")), "sizes")
+    base = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), row_mark(docs, seed).alias("mark"), n_words(F.col("text").cast("string")).alias("size")), "sizes")
     n = base.count()
     buckets = 1 << max(6, math.ceil(math.log2(max(n, 1)) / 2))  # about as many as a bucket has rows
     base = base.withColumn("bucket", F.pmod("mark", F.lit(buckets)))

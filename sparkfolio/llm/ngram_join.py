@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import bloom, only
 from .graph import components
 from .shared import forget, table, written
 from .tokens import U, mix, shingles, slices, words
@@ -30,7 +31,6 @@ from .tokens import U, mix, shingles, slices, words
 BAND_RATIO = 1.4
 #: Cost of handling one key, and of verifying one chance pair in units of it; odds that a foreign shingle is shared.
 PAIR_COST, REUSE = 20.0, 0.05
-BLOOM_BITS = 1 << 26
 #: 64-bit words of the parity sketch of a set.
 SKETCH = 16
 
@@ -125,44 +125,6 @@ def _signatures(scheme: Scheme, n: int):
     return run
 
 
-def _chosen(bits):
-    """Keeps the rows whose doc_id may be among the wanted ones."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = bits.value
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            h = mix(ids)
-            keep = np.ones(len(ids), dtype=bool)
-            for at in (h, h >> U(32)):
-                at = at & U(BLOOM_BITS - 1)
-                keep &= (mask[at >> U(6)] >> (at & U(63))) & U(1) == 1
-            if keep.any():
-                yield batch.filter(pa.array(keep))
-
-    return run
-
-
-def _bits(ids: DataFrame):
-    """A Bloom filter of fixed size (8 MB) over the column ``id``, built by the executors; null if empty."""
-
-    def run(batches):
-        mask = np.zeros(BLOOM_BITS >> 6, dtype=np.uint64)
-        for batch in batches:
-            h = mix(batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            for at in (h, h >> U(32)):
-                at = at & U(BLOOM_BITS - 1)
-                np.bitwise_or.at(mask, at >> U(6), U(1) << (at & U(63)))
-        at = np.flatnonzero(mask)
-        for k in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k : k + (1 << 16)]), pa.array(mask[at[k : k + (1 << 16)]].view(np.int64))], names=["w", "b"])
-
-    mask = np.zeros(BLOOM_BITS >> 6, dtype=np.uint64)
-    got = ids.mapInArrow(run, "w long, b long").groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toArrow()
-    mask[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
-    return ids.sparkSession.sparkContext.broadcast(mask)
-
-
 def _verified(percent: int, n: int):
     def of(texts: pa.Array, i: int) -> np.ndarray:
         return np.unique(shingles(words(texts.slice(i, 1))[0], n))
@@ -215,7 +177,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = base.where("doc_id is not null").mapInArrow(_chosen(_bits(ids)), base.schema)
+        texts = base.where("doc_id is not null").mapInArrow(only("doc_id", bloom(ids)), base.schema)
         both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         return written(both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent, n), "a long, b long"), "links")
 
