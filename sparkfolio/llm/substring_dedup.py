@@ -4,10 +4,10 @@ Tokens are the five-word shingles of a text. For one hash function a compact win
 subsequences of at least T tokens that lie within l..r and hold c, where the least hash is: the nodes of the Cartesian
 tree over the hashes whose span is that long. Every subsequence of T tokens has one window for each function, so two
 texts that share a passage meet in the value at c; under FUNCTIONS functions a passage of Jaccard similarity 0.8 meets
-at least once but in 0.8% of cases, an equal one always.
+at least once but in 4% of cases, an equal one always.
 
 Windows whose value is shared are placed by what stands around c: blocks of CONTEXT tokens on either side, of which a
-passage with one substitution in T tokens keeps one, and stretches of an equal passage's length. Members of a place
+passage with one substitution in T tokens keeps one. Members of a place
 are held against two of them (the first and the last document), by aligning the texts at c: what is kept is the longest
 stretch around c of at least T tokens whose Jaccard similarity, taken exactly, is 0.8 or more.
 """
@@ -26,7 +26,7 @@ from .shared import fresh, table, written
 from .tokens import U, mix, shingles, slices, words
 
 SHINGLE, LEAST_WORDS, SIMILARITY = 5, 50, 0.8
-FUNCTIONS, CONTEXT = 3, 12
+FUNCTIONS, CONTEXT = 2, 12
 _SEEDS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * U(0x9FB21C651E98DF25))
 
 
@@ -69,17 +69,25 @@ def _keyed(least: int):
 
 
 def _stretches(least: int) -> list[tuple[int, int]]:
-    """Spans (from, to) around c; one of them lies in any equal passage of ``least`` tokens that holds c, one in any with a single substitution."""
-    far = CONTEXT + SHINGLE + 1
-    out = [(0, CONTEXT + 1), (far, far + CONTEXT), (-CONTEXT, 1), (-far - CONTEXT + 1, -far + 1)]
-    step = max(1, least // 4)
-    return out + [(-j, least - j - step + 1) for j in range(0, least, step) if least - j - step + 1 > 0]
+    """Spans (from, to) around c, one of which keeps its tokens in any passage of ``least`` tokens that holds c and has at most one substitution."""
+    near = min(CONTEXT, max(1, (least - 2 * SHINGLE) // 3))
+    far = near + SHINGLE + 1
+    return [(0, near + 1), (far, far + near), (-near, 1), (1 - far - near, 1 - far)]
+
+
+def place_keys(row: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, place) for each stretch around each place, of those that lie within the text."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(row + U(1)))])
+    keys, places = [], []
+    for j, (a, b) in enumerate(_stretches(least)):
+        c = at[(at + a >= 0) & (at + b <= len(row))]
+        keys.append(mix((sums[c + b] - sums[c + a]) ^ (row[c] + U(j))))
+        places.append(c)
+    return np.concatenate(keys), np.concatenate(places)
 
 
 def _placed(bits, docs_bits, least: int):
     """(place key, doc_id, c): windows whose value may be shared, by the tokens around c."""
-    spans = _stretches(least)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in only("doc_id", docs_bits)(batches):
             for part in slices(batch, "text"):
@@ -90,25 +98,22 @@ def _placed(bits, docs_bits, least: int):
                     if rows[i + 1] - rows[i] < least + SHINGLE - 1:
                         continue
                     key, at = _windows(own, least)
-                    at = np.unique(at[maybe(bits.value, key.view(np.int64))])
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(own + U(1)))])
-                    for j, (a, b) in enumerate(spans):
-                        c = at[(at + a >= 0) & (at + b <= len(own))]
-                        keys.append(mix((sums[c + b] - sums[c + a]) ^ (own[c] + U(j))).view(np.int64))
-                        docs.append(np.full(len(c), d, dtype=np.int64))
-                        places.append(c)
+                    key, at = place_keys(own, np.unique(at[maybe(bits.value, key.view(np.int64))]), least)
+                    keys.append(key.view(np.int64))
+                    docs.append(np.full(len(at), d, dtype=np.int64))
+                    places.append(at)
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, docs, places)], names=["key", "doc_id", "c"])
 
     return run
 
 
-def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similarity: float) -> tuple[int, int] | None:
-    """(tokens before, tokens from) the common place on, of the longest stretch around it that is similar enough."""
+def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similarity: float) -> tuple[int, int, bool]:
+    """(tokens before, tokens from) the common place on, of the longest stretch around it that is similar enough, and True; of the equal run around it and False if there is none."""
     left, right = min(at, to), min(len(a) - at, len(b) - to)
     same = a[at - left : at + right] == b[to - left : to + right]
     if not same[left]:
-        return None
+        return 0, 1, False
     most = 2 * similarity / (1 + similarity)  # the part of equal tokens at which distinct ones have that similarity
     gain = np.where(same, 1 - most, -most)
     back, ahead = np.cumsum(gain[:left][::-1]), np.cumsum(gain[left:])
@@ -117,33 +122,57 @@ def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similari
     odd = np.flatnonzero(~same)
     before, after = odd[odd < left], odd[odd > left]
     run = (left - 1 - int(before[-1]) if len(before) else left, int(after[0]) - left if len(after) else right)
-    for x, y in ((left, right), (low, high), run):
+    whole = [(left, right)] if same.mean() >= most else []
+    for x, y in [*whole, (low, high), run]:
         if x + y >= least:
             p, q = np.unique(a[at - x : at + y]), np.unique(b[to - x : to + y])
             both = len(np.intersect1d(p, q, assume_unique=True))
             if both >= similarity * (len(p) + len(q) - both):
-                return x, y
-    return None
+                return x, y, True
+    return *run, False
 
 
 def _verified(least: int, similarity: float):
+    """The stretches that two texts share around the given places of the first; both texts' sides of them."""
+
+    def tokens(texts: pa.Array, i: int) -> np.ndarray:
+        return shingles(words(texts.slice(i, 1))[0], SHINGLE)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict = {}
+        last, right, keys, spots = None, None, None, None
         for batch in batches:
             out = []
             for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
-                if b not in kept:
-                    kept = {b: shingles(words(batch.column("tb").slice(i, 1))[0], SHINGLE)}
-                right, left = kept[b], shingles(words(batch.column("ta").slice(i, 1))[0], SHINGLE)
-                done: list[tuple[int, int, int]] = []
-                for p in batch.column("places")[i].as_py():
-                    at, to = p["ca"], p["cb"]
-                    if any(s <= at < e and at - to == shift for s, e, shift in done) or at >= len(left) or to >= len(right) or left[at] != right[to]:
-                        continue
-                    if got := aligned(left, right, at, to, least, similarity):
-                        x, y = got
-                        done.append((at - x, at + y, at - to))
-                        out += [(a, at - x, at + y + SHINGLE - 1, b), (b, to - x, to + y + SHINGLE - 1, a)]
+                left = tokens(batch.column("ta"), i)
+                if b != last:
+                    last, right = b, tokens(batch.column("tb"), i)
+                    keys, spots = place_keys(right, np.unique(_windows(right, least)[1]), least)
+                    order = np.argsort(keys, kind="stable")
+                    keys, spots = keys[order], spots[order]
+                ats = np.array(batch.column("places")[i].as_py(), dtype=np.int64)
+                own, ats = place_keys(left, ats[ats < len(left)], least)
+                lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+                ats, lo, hi = ats[hi > lo], lo[hi > lo], hi[hi > lo]
+                if not len(ats):
+                    continue
+                # A key that recurs in b stands in a period of its text: the first and the last place reach all of it.
+                at, shift = np.concatenate([ats, ats]), np.concatenate([ats - spots[lo], ats - spots[hi - 1]])
+                at, shift = np.unique(np.stack([at, shift]), axis=1)
+                _, which, counts = np.unique(shift, return_inverse=True, return_counts=True)
+                order = np.lexsort((at, which, -counts[which]))  # the shift that most places ask for first
+                at, shift = at[order], shift[order]
+                covered = np.zeros(len(left), dtype=bool)
+                cut = np.flatnonzero(np.diff(shift, prepend=shift[:1] - 1))
+                for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True):
+                    move, todo = int(shift[x]), at[x:y]
+                    while len(todo := todo[~covered[todo]]):
+                        here = int(todo[0])
+                        before, after, good = aligned(left, right, here, here - move, least, similarity)
+                        if good:
+                            start, end = here - before, here + after
+                            covered[start:end] = True
+                            out += [(a, start, end + SHINGLE - 1, b), (b, start - move, end - move + SHINGLE - 1, a)]
+                        todo = todo[todo >= here + after]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["doc_id", "start", "end", "other"])
 
@@ -170,10 +199,9 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float =
 
     placed = base.where("doc_id is not null").mapInArrow(_placed(bits, bloom(some), least), "key long, doc_id long, c long")
     placed = written(placed, "places")
-    ends = placed.groupBy("key").agg(F.min(F.struct("doc_id", "c")).alias("lo"), F.max(F.struct("doc_id", "c")).alias("hi")).where("lo.doc_id <> hi.doc_id")
-    ends = written(ends.select("key", F.explode(F.array("lo", "hi")).alias("e")).select("key", F.col("e.doc_id").alias("b"), F.col("e.c").alias("cb")), "centres")
-    pairs = placed.join(ends, "key").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b", F.col("c").alias("ca"), "cb").distinct()
-    pairs = written(pairs.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("ca", "cb"))).alias("places")), "pairs")  # at most the windows of a
+    ends = written(placed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi"), "centres")
+    pairs = placed.join(ends, "key").select(F.col("doc_id").alias("a"), F.explode(F.array("lo", "hi")).alias("b"), "c").where("a <> b")
+    pairs = written(pairs.groupBy("a", "b").agg(F.sort_array(F.collect_set("c")).alias("places")), "pairs")  # at most the windows of a
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     texts = base.where("doc_id is not null").mapInArrow(only("doc_id", bloom(ids)), base.schema)
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
