@@ -1,0 +1 @@
+"""Full-text document analytics and semantic retrieval on Spark DataFrames."""
