@@ -108,7 +108,7 @@ def _marked(block, names: list[str], keep: list[str]):
                 order = np.argsort(row, kind="stable")
                 begin, win, row = begin[order], win[order], row[order]
                 cut = np.flatnonzero(np.diff(row, prepend=-1))
-                for a, b in zip(cut, [*cut[1:], len(row)], strict=True):
+                for a, b in zip(cut, np.append(cut[1:], len(row))[: len(cut)], strict=True):
                     i = row[a]
                     n = int(rows[i + 1] - rows[i])
                     mark = np.unpackbits(np.frombuffer(hits[i], np.uint8), count=n) if hits[i] else np.zeros(n, dtype=np.uint8)
