@@ -115,6 +115,11 @@ def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similari
     if not same[left]:
         return 0, 1, False
     most = 2 * similarity / (1 + similarity)  # the part of equal tokens at which distinct ones have that similarity
+    equal = np.count_nonzero(same)
+    if equal < min(most * least, least - 1):  # no stretch of this shift is enough
+        return left, right, False
+    if equal == len(same):
+        return left, right, len(same) >= least
     gain = np.where(same, 1 - most, -most)
     back, ahead = np.cumsum(gain[:left][::-1]), np.cumsum(gain[left:])
     low = int(np.flatnonzero(np.concatenate([[0.0], back]) == max(0.0, back.max(initial=0.0)))[-1])
@@ -122,9 +127,11 @@ def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similari
     odd = np.flatnonzero(~same)
     before, after = odd[odd < left], odd[odd > left]
     run = (left - 1 - int(before[-1]) if len(before) else left, int(after[0]) - left if len(after) else right)
-    whole = [(left, right)] if same.mean() >= most else []
+    whole = [(left, right)] if equal >= most * len(same) else []
     for x, y in [*whole, (low, high), run]:
         if x + y >= least:
+            if same[left - x : left + y].all():
+                return x, y, True
             p, q = np.unique(a[at - x : at + y]), np.unique(b[to - x : to + y])
             both = len(np.intersect1d(p, q, assume_unique=True))
             if both >= similarity * (len(p) + len(q) - both):
@@ -156,14 +163,15 @@ def _verified(least: int, similarity: float):
                 if not len(ats):
                     continue
                 # A key that recurs in b stands in a period of its text: the first and the last place reach all of it.
-                at, shift = np.concatenate([ats, ats]), np.concatenate([ats - spots[lo], ats - spots[hi - 1]])
-                at, shift = np.unique(np.stack([at, shift]), axis=1)
-                _, which, counts = np.unique(shift, return_inverse=True, return_counts=True)
-                order = np.lexsort((at, which, -counts[which]))  # the shift that most places ask for first
+                at, to = np.concatenate([ats, ats]), np.concatenate([spots[lo], spots[hi - 1]])
+                tries = np.unique((at << 31) | to)
+                at, shift = tries >> 31, (tries >> 31) - (tries & ((1 << 31) - 1))
+                order = np.argsort(shift, kind="stable")
                 at, shift = at[order], shift[order]
                 covered = np.zeros(len(left), dtype=bool)
                 cut = np.flatnonzero(np.diff(shift, prepend=shift[:1] - 1))
-                for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True):
+                groups = zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True)
+                for x, y in sorted(groups, key=lambda g: g[0] - g[1]):  # the shift that most places ask for first
                     move, todo = int(shift[x]), at[x:y]
                     while len(todo := todo[~covered[todo]]):
                         here = int(todo[0])
