@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import add
 
 import numpy as np
@@ -29,14 +29,14 @@ from .shared import forget, table, written
 from .tokens import U, mix, shingles, slices, words
 
 BAND_RATIO = 1.4
-#: Cost of handling one key, and of verifying one chance pair in units of it; odds that a foreign shingle is shared.
-PAIR_COST, REUSE = 20.0, 0.05
+#: Cost of verifying one chance pair, in units of handling one key; odds that a document has a given foreign shingle.
+PAIR_COST, REUSE = 20.0, 0.002
 #: 64-bit words of the parity sketch of a set.
 SKETCH = 16
 
 
 class Scheme:
-    """Bands of set sizes and, for each, the number of segments and of those with allowance 2."""
+    """Bands of set sizes and, for each, the number of segments, of those with allowance 2, and of empty ones to pass over."""
 
     def __init__(self, percent: int, documents: int):
         self.percent, self.documents, self.bounds, self.plans = percent, max(documents, 1), [1], {}
@@ -46,50 +46,69 @@ class Scheme:
             self.bounds.append(max(self.bounds[-1] + 1, math.ceil(self.bounds[-1] * BAND_RATIO)))
         return int(np.searchsorted(self.bounds, size, side="right")) - 1
 
-    def plan(self, band: int) -> tuple[int, int]:
-        """(segments, those with allowance 2) of the cheapest allocation; (0, 0) if only equal sets can link."""
+    def differ(self, small: int, large: int) -> int:
+        """The most shingles that two linked sets of at most these sizes differ in."""
+        return (100 - self.percent) * (small + large) // (100 + self.percent)
+
+    def plan(self, band: int) -> tuple[int, int, int]:
+        """(segments, those with allowance 2, spare) of the cheapest allocation; no segments if only equal sets can link."""
         if band not in self.plans:
             while len(self.bounds) < band + 2:
                 self.band(self.bounds[-1])
             low, top = self.bounds[band], self.bounds[band + 1] - 1
-            differ = (100 - self.percent) * (top + top * 100 // self.percent) // (100 + self.percent)
-            self.plans[band] = min((self._cost(low, differ, two), differ + 1 - two, two) for two in self._choices(differ))[1:] if differ else (0, 0)
+            differ = self.differ(top, top * 100 // self.percent)
+            spare = math.ceil(1.5 * differ * math.exp(-low / (differ + 1)))
+            most = (differ + 1) // 2
+            choices = {most * i // 16 for i in range(17)}
+            self.plans[band] = min((self._cost(low, differ + 1 + spare, two), differ + 1 + spare - two, two, spare) for two in choices)[1:] if differ else (0, 0, 0)
         return self.plans[band]
 
-    @staticmethod
-    def _choices(differ: int) -> list[int]:
-        most = (differ + 1) // 2
-        return sorted({most * i // 16 for i in range(17)})
-
-    def _cost(self, size: int, differ: int, two: int) -> float:
-        m = differ + 1 - two
+    def _cost(self, size: int, allowance: int, two: int) -> float:
+        m = allowance - two
         per = max(size / m, 1.0)
         chance = (m - two) * REUSE**per + two * (per + 1) * REUSE ** max(per - 1, 0)
         return (m - two) + two * (per + 1) + self.documents / 2 * chance * PAIR_COST
 
     def keys(self, hashes: np.ndarray) -> np.ndarray:
-        """Index entries of a set, given as its sorted distinct shingle hashes."""
+        """Index entries of a set, given as its sorted distinct shingle hashes.
+
+        A set takes as many of a band's segments, from the first, as its own size asks for: two sets then share the
+        first segments that the one of fewer takes, whose allowances exceed what they may differ in by ``spare``. Empty
+        segments, which many sets would share, are passed over where a set has no more than ``spare`` of them.
+        """
         n = len(hashes)
         if not n:
             return hashes
         mixed, out = mix(hashes), []
         sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed)])
-        least = -(-self.percent * n // 100)
-        for band in range(self.band(max(least, 1)), self.band(n) + 1):
-            m, two = self.plan(band)
+        least, own = -(-self.percent * n // 100), self.band(n)
+        for band in range(self.band(max(least, 1)), own + 1):
+            m, two, spare = self.plan(band)
             if not m:
                 continue
-            at = np.searchsorted(hashes, ((np.arange(m + 1, dtype=object) << 64) // m)[:m].astype(np.uint64)) if m > 1 else np.zeros(1, dtype=np.int64)
-            at = np.append(at, n)
-            part = sums[at[1:]] - sums[at[:-1]]
-            salt = mix(np.arange(m, dtype=np.uint64) + U((band + 1) << 40))
-            out.append(mix(part ^ salt))
+            most = self.differ(n, n * 100 // self.percent) if band == own else self.differ(self.bounds[band + 1] - 1, n)
+            take = min(m, max(most + 1 + spare - two, two))
+            at = np.searchsorted(hashes, _cuts(m)[: take + 1])
+            if take == m:
+                at[m] = n
+            part, size = sums[at[1:]] - sums[at[:-1]], np.diff(at)
+            salt = mix(np.arange(take, dtype=np.uint64) + U((band + 1) << 40))
+            keys, full = mix(part ^ salt), size[two:] > 0
+            if len(full) - np.count_nonzero(full) <= spare:
+                keys = np.concatenate([keys[:two], keys[two:][full]])
+            out.append(keys)
             if two:
-                seg = np.repeat(np.arange(two), np.diff(at)[:two])
-                out.append(mix((part[seg] - mixed[: at[two]]) ^ salt[seg]))
+                seg = np.repeat(np.arange(two), size[:two])
+                out.append(mix((part[seg] - mixed[at[0] : at[two]]) ^ salt[seg]))
         return np.unique(np.concatenate(out)) if out else hashes[:0]
 
 
+@lru_cache(maxsize=256)
+def _cuts(m: int) -> np.ndarray:
+    """Where each of m equal segments of the hash universe begins, and its end."""
+    return np.array([*((i << 64) // m for i in range(m)), (1 << 64) - 1], dtype=np.uint64)
+
+
 def parities(hashes: np.ndarray) -> np.ndarray:
     """Bit i is the parity of the number of hashes that fall on i. Two sets differ in at least as many elements as their parities differ in bits."""
     odd = np.bincount((hashes & U(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
@@ -161,12 +180,13 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scheme = Scheme(percent, docs.count())
     signed = written(base.mapInArrow(_signatures(scheme, n), "doc_id long, n long, h1 long, h2 long, keys array<long>, sketch array<long>"), "signatures")
-    classes = written(signed.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"), F.min("sketch").alias("sketch")).where("node is not null"), "classes")
+    # A set is known by h1 here (two sets share it with odds of 2**-64), and by its smallest doc_id from members on.
     whole = signed.select("doc_id", "n", "h1", "h2")
-
-    entries = classes.select("node", "n", F.explode("keys").alias("key"))
-    shared = written(entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key"), "shared")
-    members = written(entries.join(shared, "key").select("key", "node", "n"), "members")
+    classes = written(whole.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node")).where("node is not null"), "classes")
+    entries = signed.where("n > 0").select("h1", F.explode("keys").alias("key"))
+    shared = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "shared")
+    some = entries.mapInArrow(only("key", bloom(shared)), "h1 long, key long").join(shared, "key", "left_semi").distinct()
+    members = written(some.join(classes.select("h1", "n", "node"), "h1").select("key", "node", "n"), "members")
 
     # Each member against the one whose entries are shared most.
     weight = members.groupBy("node").agg(F.count(F.lit(1)).alias("w"))
@@ -187,7 +207,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     # Members of an entry that are still in different components meet each other.
     named = members.join(comps, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
     apart = written(named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "apart")
-    left = written(named.join(apart, "key").join(classes.select("node", "sketch"), "node"), "left")
+    left = written(named.join(apart, "key").join(signed.select(F.col("doc_id").alias("node"), "sketch"), "node"), "left")
     other = left.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("sketch").alias("s"))
     differ = reduce(add, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("s")[i])) for i in range(SKETCH)])
     alike = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)

@@ -118,10 +118,10 @@ def test_jaccard_join_repeated_rows_and_null_ids(spark):
 
 def test_scheme_misses_no_pair():
     rng = np.random.default_rng(2)
-    for percent in (50, 80, 90):
-        scheme = ngram_join.Scheme(percent, 10**7)
-        for _ in range(300):
-            n = int(rng.integers(1, 120))
+    for percent, documents in ((50, 100), (80, 100), (80, 10**12), (90, 10**7)):
+        scheme = ngram_join.Scheme(percent, documents)
+        for _ in range(400):
+            n = int(rng.integers(1, rng.choice([8, 30, 120, 900])))
             a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
             keep = a[rng.random(len(a)) > rng.random() * 0.3]
             b = np.unique(np.concatenate([keep, rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 8))).astype(np.uint64)]))
