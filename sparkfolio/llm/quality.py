@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import bloom, only
 from .shared import table, written
 from .tokens import U, raw, slices, words
 
@@ -162,8 +163,8 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` that the classifier does not reject."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    own = labels.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id")).distinct()
-    taught = base.join(own, base["doc_id"] == own["id"], "left_semi")
+    own = labels.where(~held_out(F.col("doc_id"))).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"))
+    taught = base.where("doc_id is not null").mapInArrow(only("doc_id", bloom(own)), base.schema)  # no text moves
     featured = written(taught.mapInArrow(_featured(["doc_id", "features"], "features"), "doc_id long, features array<float>"), "features")
     model = fit(featured, labels)
     columns = docs.columns
