@@ -68,9 +68,13 @@ def _signs(words: list[str], shingle: int, part: float) -> set[str]:
 
 def shingles(text: Column, shingle: int = SHINGLE) -> Column:
     """Hashes of a lower-cased text's shingles, in order; fewer words are one; none without words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - shingle, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice(words, i + 1, shingle), " ")))
-    return F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<bigint>"))
+
+    def of(words: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - shingle, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice(words, i + 1, shingle), " ")))
+        return F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<bigint>"))
+
+    # bound as a variable, the words are found once, not for each shingle
+    return F.get(F.transform(F.array(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))), of), F.lit(0))
 
 
 def _least(hashes: Column) -> Column:
@@ -109,6 +113,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, part: float = P
 
     asked = docs.select(row_mark(docs).alias("mark"), text.alias("text"), low.alias("low"))
     asked = asked.select("mark", "text", F.filter(F.array(*[F.when(may(w), F.lit(w)) for w in widths]), lambda w: w.isNotNull()).alias("widths")).where(F.size("widths") > 0).distinct()
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "mark")  # few bytes, much work
     cut = written(asked.select("mark", "widths", shingles(F.col("text")).alias("all")), "license-candidates")
     windows = cut.select("mark", "all", F.explode("widths").alias("width"))
     windows = windows.select("mark", "width", F.explode_outer(F.expr("transform(sequence(0, greatest(size(all) - width - 1, 0), width), i -> struct(i AS at, slice(all, i + 1, 2 * width) AS part))")).alias("x"))
