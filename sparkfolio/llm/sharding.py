@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .shared import fresh, hadoop_path, new_path, table
 
 TARGET, SMALL, FANOUT = 128 << 20, 8 << 20, 4
+#: Files whose numbers are broadcast at most.
+NAMED = 100_000
 
 
 def _files(spark: SparkSession, path: str) -> list[dict]:
@@ -30,6 +32,15 @@ def _files(spark: SparkSession, path: str) -> list[dict]:
     return sorted(out, key=lambda f: f["path"])
 
 
+def _named(rows: DataFrame, files: list[tuple[str, int]], column: str) -> DataFrame:
+    """``rows`` of a scan with ``column``, the number given for the file (folder/name) that a row comes from."""
+    (name,) = fresh(rows, "file")
+    own = rows.sparkSession.createDataFrame(files, "file string, number long").select(F.col("file").alias(name), F.col("number").alias(column))
+    of = F.concat_ws("/", F.slice(F.split(F.input_file_name(), "/"), -2, 2))
+    small = len(files) <= NAMED  # about 20 MB of names; beyond that the rows are joined by file
+    return rows.withColumn(name, of).join(F.broadcast(own) if small else own, name).drop(name)
+
+
 def tier(size: int, small: int, fanout: int) -> int:
     return max(0, math.floor(math.log(max(size, 1) / small, fanout))) if size > small else 0
 
@@ -108,11 +119,10 @@ class Store:
         if not runs:
             return now["version"]
         merged = {i for r in runs for i in r}
-        names = self.spark.createDataFrame([(files[i]["path"].rsplit("/", 2)[-2] + "/" + files[i]["path"].rsplit("/", 1)[-1], k) for k, r in enumerate(runs) for i in r], "file string, run int")
+        names = [("/".join(files[i]["path"].rsplit("/", 2)[-2:]), k) for k, r in enumerate(runs) for i in r]
         rows = self.spark.read.parquet(*[files[i]["path"] for i in sorted(merged)])
-        name, run = fresh(rows, "file", "run")
-        of = F.concat_ws("/", F.slice(F.split(F.input_file_name(), "/"), -2, 2))
-        placed = rows.withColumn(name, of).join(names.select(F.col("file").alias(name), F.col("run").alias(run)), name).drop(name)
+        (run,) = fresh(rows, "run")
+        placed = _named(rows, names, run)
         to = f"{self.path}/data/{uuid.uuid4().hex}"
         placed.repartition(len(runs), run).write.option("compression", "zstd").partitionBy(run).parquet(to)
         return self.commit([*(f for i, f in enumerate(files) if i not in merged), *_files(self.spark, to)], now["version"])
@@ -129,10 +139,8 @@ class Store:
         """The rows of a version, with ``shard``, the place of their file in the manifest."""
         files = [f["path"] for f in self.manifest(version)["files"]]
         rows = self.spark.read.parquet(*files)
-        shard, name = fresh(rows, "shard", "file")
-        own = self.spark.createDataFrame([("/".join(f.rsplit("/", 3)[-2:]), k) for k, f in enumerate(files)], "file string, shard long")
-        of = F.concat_ws("/", F.slice(F.split(F.input_file_name(), "/"), -2, 2))
-        return rows.withColumn(name, of).join(own.select(F.col("file").alias(name), F.col("shard").alias(shard)), name).drop(name)
+        (shard,) = fresh(rows, "shard")
+        return _named(rows, [("/".join(f.rsplit("/", 2)[-2:]), k) for k, f in enumerate(files)], shard)
 
 
 def sharded(docs: DataFrame, path: str | None = None, target: int = TARGET, small: int = SMALL, fanout: int = FANOUT) -> Store:
