@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from .shared import fresh, hadoop_path, new_path, table
 
-TARGET, SMALL, FANOUT = 128 << 20, 8 << 20, 4
+TARGET, SMALL, FANOUT = 64 << 20, 8 << 20, 4
+#: Row groups of merged files: what a writing task holds at once.
+GROUP = 16 << 20
 #: Files whose numbers are broadcast at most.
 NAMED = 100_000
 
@@ -124,7 +126,7 @@ class Store:
         (run,) = fresh(rows, "run")
         placed = _named(rows, names, run)
         to = f"{self.path}/data/{uuid.uuid4().hex}"
-        placed.repartition(len(runs), run).write.option("compression", "zstd").partitionBy(run).parquet(to)
+        placed.repartition(len(runs), run).write.option("compression", "zstd").option("parquet.block.size", GROUP).partitionBy(run).parquet(to)
         return self.commit([*(f for i, f in enumerate(files) if i not in merged), *_files(self.spark, to)], now["version"])
 
     def vacuum(self) -> None:
