@@ -126,7 +126,7 @@ class Store:
         (run,) = fresh(rows, "run")
         placed = _named(rows, names, run)
         to = f"{self.path}/data/{uuid.uuid4().hex}"
-        placed.repartition(len(runs), run).write.option("compression", "zstd").option("parquet.block.size", GROUP).partitionBy(run).parquet(to)
+        placed.repartitionById(len(runs), F.col(run).cast("int")).write.option("compression", "zstd").option("parquet.block.size", GROUP).partitionBy(run).parquet(to)
         return self.commit([*(f for i, f in enumerate(files) if i not in merged), *_files(self.spark, to)], now["version"])
 
     def vacuum(self) -> None:
