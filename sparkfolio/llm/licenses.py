@@ -9,7 +9,6 @@ are below ``MISS``. Everything is DataFrame expressions.
 from __future__ import annotations
 
 import math
-import random
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -78,14 +77,12 @@ def shingles(text: Column, shingle: int = SHINGLE) -> Column:
 
 
 def _least(hashes: Column) -> Column:
-    """For each of BANDS constants, the least of the hashes combined with it: any hash is as likely to be that one."""
-    draw = random.Random(7)
-    flips = [draw.getrandbits(63) for _ in range(BANDS)]
+    """For each of BANDS seeds, the least of the hashes hashed anew with it: any hash is as likely to be that one, in each band for itself."""
 
-    def one(flip: int) -> Column:
-        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(flip))))
+    def one(seed: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(seed))))
 
-    return F.array(*[one(x) for x in flips])
+    return F.array(*[one(x) for x in range(BANDS)])
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, part: float = PART) -> DataFrame:

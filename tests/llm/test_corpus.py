@@ -242,6 +242,22 @@ def test_licenses(spark):
     assert licenses.licensed(table(spark, [])).count() == 0
 
 
+def test_licenses_at_the_least_containment(spark):
+    rng = random.Random(17)
+    rows = []
+    for t in licenses.TEMPLATES.values():
+        w = t.split()
+        n = max(1, len(licenses.template_words(t)) - 4)
+        spare = n - -(-4 * n // 5)  # shingles that may be missing
+        for k in range(40):
+            cut = [*w[:-spare], "other"] if k % 2 and spare else ["other", *w[spare:]]
+            rows.append((len(rows), f"{prose(rng, 8 + k, 5000)} {' '.join(cut)} {prose(rng, 48 - k, 5000)}"))
+    got = licenses.licensed(table(spark, rows)).collect()
+    want = {i: held(t) for i, t in rows}
+    assert sum(map(bool, want.values())) >= 0.9 * len(rows)
+    assert {r.doc_id: r.licenses for r in got} == want
+
+
 # --- 5
 
 
