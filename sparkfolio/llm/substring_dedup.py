@@ -4,12 +4,13 @@ Tokens are the five-word shingles of a text. For one hash function a compact win
 subsequences of at least T tokens that lie within l..r and hold c, where the least hash is: the nodes of the Cartesian
 tree over the hashes whose span is that long. Every subsequence of T tokens has one window for each function, so two
 texts that share a passage meet in the value at c; under FUNCTIONS functions a passage of Jaccard similarity 0.8 meets
-at least once but in 4% of cases, an equal one always.
+at least once but in 0.8% of cases, an equal one always.
 
 Windows whose value is shared are placed by what stands around c: blocks of CONTEXT tokens on either side, of which a
-passage with one substitution in T tokens keeps one. Members of a place
-are held against two of them (the first and the last document), by aligning the texts at c: what is kept is the longest
-stretch around c of at least T tokens whose Jaccard similarity, taken exactly, is 0.8 or more.
+passage with one substitution in T tokens keeps one, and so does
+a run of one and a half blocks in which c stands. Members of a place are held against two of them (the first and the
+last document), by aligning the texts from c on, over gaps where words are changed, put in or left out: what is kept is
+the longest stretch around c of at least T tokens whose Jaccard similarity, taken exactly, is 0.8 or more.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from .shared import fresh, table, written
 from .tokens import U, mix, shingles, slices, words
 
 SHINGLE, LEAST_WORDS, SIMILARITY = 5, 50, 0.8
-FUNCTIONS, CONTEXT = 2, 12
+FUNCTIONS, CONTEXT = 3, 12
 _SEEDS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * U(0x9FB21C651E98DF25))
 
 
@@ -72,7 +73,7 @@ def _stretches(least: int) -> list[tuple[int, int]]:
     """Spans (from, to) around c, one of which keeps its tokens in any passage of ``least`` tokens that holds c and has at most one substitution."""
     near = min(CONTEXT, max(1, (least - 2 * SHINGLE) // 3))
     far = near + SHINGLE + 1
-    return [(0, near + 1), (far, far + near), (-near, 1), (1 - far - near, 1 - far)]
+    return [(0, near + 1), (far, far + near), (-near, 1), (1 - far - near, 1 - far), (-(near // 2), near - near // 2 + 1)]
 
 
 def place_keys(row: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,35 +109,79 @@ def _placed(bits, docs_bits, least: int):
     return run
 
 
-def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similarity: float) -> tuple[int, int, bool]:
-    """(tokens before, tokens from) the common place on, of the longest stretch around it that is similar enough, and True; of the equal run around it and False if there is none."""
-    left, right = min(at, to), min(len(a) - at, len(b) - to)
-    same = a[at - left : at + right] == b[to - left : to + right]
-    if not same[left]:
-        return 0, 1, False
-    most = 2 * similarity / (1 + similarity)  # the part of equal tokens at which distinct ones have that similarity
-    equal = np.count_nonzero(same)
-    if equal < min(most * least, least - 1):  # no stretch of this shift is enough
-        return left, right, False
-    if equal == len(same):
-        return left, right, len(same) >= least
-    gain = np.where(same, 1 - most, -most)
-    back, ahead = np.cumsum(gain[:left][::-1]), np.cumsum(gain[left:])
-    low = int(np.flatnonzero(np.concatenate([[0.0], back]) == max(0.0, back.max(initial=0.0)))[-1])
-    high = int(np.flatnonzero(ahead == ahead.max())[-1]) + 1
-    odd = np.flatnonzero(~same)
-    before, after = odd[odd < left], odd[odd > left]
-    run = (left - 1 - int(before[-1]) if len(before) else left, int(after[0]) - left if len(after) else right)
-    whole = [(left, right)] if equal >= most * len(same) else []
-    for x, y in [*whole, (low, high), run]:
-        if x + y >= least:
-            if same[left - x : left + y].all():
-                return x, y, True
-            p, q = np.unique(a[at - x : at + y]), np.unique(b[to - x : to + y])
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            if both >= similarity * (len(p) + len(q) - both):
-                return x, y, True
-    return *run, False
+def _equal(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the common start."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        odd = np.flatnonzero(a[at : min(at + step, n)] != b[at : min(at + step, n)])
+        if len(odd):
+            return at + int(odd[0])
+        at, step = at + step, 4 * step
+    return n
+
+
+def _again(a: np.ndarray, b: np.ndarray, most: int) -> tuple[int, int] | None:
+    """(tokens of a, tokens of b) to leave out, as few as can be and at most ``most``, before both have an equal token."""
+    reach = 32
+    while True:
+        reach = min(reach, most)
+        p, q = a[: reach + 1], b[: reach + 1]
+        if reach <= 64:
+            x, y = np.nonzero(p[:, None] == q[None, :])
+        else:
+            _, x, y = np.intersect1d(p, q, return_indices=True)
+        if len(x):
+            k = int((x + y).argmin())
+            if x[k] + y[k] <= reach:
+                return int(x[k]), int(y[k])
+        if reach >= most:
+            return None
+        reach *= 4
+
+
+def _chain(a: np.ndarray, b: np.ndarray, shared: int, least: int, similarity: float) -> np.ndarray:
+    """Rows (tokens of a, tokens of b, equal tokens) of the runs from the start of both on, each with those before it.
+
+    ``shared`` equal tokens are known elsewhere. A gap is followed if a stretch with fewer than ``least`` equal tokens
+    beyond it can be similar enough; one with more is found from its own places.
+    """
+    x = y = equal = 0
+    out = [(0, 0, 0)]
+    while True:
+        n = _equal(a[x:], b[y:])
+        x, y, equal = x + n, y + n, equal + n
+        if n:
+            out.append((x, y, equal))
+        room = int((1 / similarity - 1) * (shared + equal + least) - (x + y - 2 * equal))
+        gap = _again(a[x:], b[y:], room) if room > 0 else None
+        if gap is None:
+            return np.array(out)
+        x, y = x + gap[0], y + gap[1]
+
+
+def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similarity: float) -> tuple[tuple[int, int], tuple[int, int], bool]:
+    """(from, to) in a and in b of the longest stretch around the common place that is similar enough, words put in or left out, and True; of the equal run around it and False if there is none."""
+    if a[at] != b[to]:
+        return (at, at + 1), (to, to + 1), False
+    back, ahead = a[:at][::-1], b[:to][::-1]
+    before, after = _equal(back, ahead), _equal(a[at:], b[to:])
+    run = (at - before, at + after), (to - before, to + after)
+    left = _chain(back, ahead, after, least, similarity)
+    right = _chain(a[at:], b[to:], int(left[-1, 2]), least, similarity)
+    p, q, equal = (left[:, None, k] + right[None, 1:, k] for k in range(3))
+    fit = (np.minimum(p, q) >= least) & (equal >= similarity * (p + q - equal))
+    tries = np.flatnonzero(fit)
+    for k in tries[np.argsort(-(p + q).ravel()[tries], kind="stable")][:8]:
+        i, j = divmod(int(k), len(right) - 1)
+        (u, v, _), (x, y, _) = left[i].tolist(), right[j + 1].tolist()
+        mine, yours = (at - u, at + x), (to - v, to + y)
+        if p[i, j] == q[i, j] == equal[i, j]:
+            return mine, yours, True
+        own, other = np.unique(a[slice(*mine)]), np.unique(b[slice(*yours)])
+        both = len(np.intersect1d(own, other, assume_unique=True))
+        if both >= similarity * (len(own) + len(other) - both):
+            return mine, yours, True
+    return *run, run[0][1] - run[0][0] >= least
 
 
 def _verified(least: int, similarity: float):
@@ -175,12 +220,11 @@ def _verified(least: int, similarity: float):
                     move, todo = int(shift[x]), at[x:y]
                     while len(todo := todo[~covered[todo]]):
                         here = int(todo[0])
-                        before, after, good = aligned(left, right, here, here - move, least, similarity)
+                        mine, yours, good = aligned(left, right, here, here - move, least, similarity)
                         if good:
-                            start, end = here - before, here + after
-                            covered[start:end] = True
-                            out += [(a, start, end + SHINGLE - 1, b), (b, start - move, end - move + SHINGLE - 1, a)]
-                        todo = todo[todo >= here + after]
+                            covered[slice(*mine)] = True
+                            out += [(a, mine[0], mine[1] + SHINGLE - 1, b), (b, yours[0], yours[1] + SHINGLE - 1, a)]
+                        todo = todo[todo >= mine[1]]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["doc_id", "start", "end", "other"])
 

@@ -289,6 +289,35 @@ def test_substring_repeats(spark):
     assert passage in kept[0] and all(passage.split()[5] not in kept[i] for i in range(1, 6))
 
 
+def test_substring_repeats_with_words_put_in_or_left_out(spark):
+    rng = random.Random(18)
+    rows, want = [], {}
+    for k in range(60):
+        n = 51 + k % 45
+        w = prose(rng, n, 5000).split()
+        other = [*w[: n // 2], "put", *w[n // 2 :]] if k % 2 else [*w[: n // 2], *w[n // 2 + 1 :]]
+        for i, x in ((2 * k, w), (2 * k + 1, other)):
+            rows.append((i, f"{prose(rng, 30 + k, 5000)} {' '.join(x)} {prose(rng, 20, 5000)}"))
+            want[i] = [(30 + k, 30 + k + len(x))]
+    _, spans = substring_dedup.repeats(table(spark, rows))
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in substring_dedup.merged(spans).collect()}
+    assert all(got[i] == want[i] for i in got)
+    assert len(got) >= 0.95 * len(rows)
+
+
+def test_aligned_over_a_word_put_in_and_one_left_out():
+    rng = np.random.default_rng(5)
+    w = rng.integers(0, 2**62, 120).astype(np.uint64)
+    far = rng.integers(0, 2**62, (2, 40)).astype(np.uint64)
+    for n in (50, 60, 95):
+        for cut in (n // 3, n // 2, n - 12):
+            for other in (np.concatenate([w[:cut], w[110:111], w[cut:n]]), np.concatenate([w[:cut], w[cut + 1 : n]])):
+                a, b = (tokens.shingles(np.concatenate([own[:k], x, own[20:]]), 5) for own, k, x in zip(far, (3, 9), (w[:n], other), strict=True))
+                mine, yours, good = substring_dedup.aligned(a, b, 3 + 2, 9 + 2, 46, 0.8)
+                if len(other) >= 50:
+                    assert good and mine == (3, 3 + n - 4) and yours == (9, 9 + len(other) - 4)
+
+
 # --- 6
 
 
