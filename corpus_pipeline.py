@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.decontamination import contaminated, contamination
-from sparkfolio.llm.mixing import mixed, row_mark
+from sparkfolio.llm.mixing import copied, mixed, places, row_mark
 from sparkfolio.llm.ngram_join import jaccard_join
 from sparkfolio.llm.quality import accepted
 from sparkfolio.llm.sharding import shard_report, sharded
@@ -33,13 +33,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, in the order of the curriculum."""
-    plan = written(mixed(docs).where("copies > 0").groupBy("mark").agg(F.max("copies").alias("copies"), F.min("position").alias("position")), "mix")
-    mark, copies, position = fresh(docs, "mark", "copies", "position")
-    plan = plan.select(F.col("mark").alias(mark), F.col("copies").alias(copies), F.col("position").alias(position))
-    taken = docs.withColumn(mark, row_mark(docs)).join(plan, mark)
-    taken = taken.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
-    return taken.orderBy(position, mark).select(*docs.columns)
+    """Each document as many times as the mix takes it, each copy at its own place in the order of the curriculum."""
+    facts = ("size", "source_size", "target", "slope")
+    plan = mixed(docs).groupBy("mark").agg(F.max("copies").alias("copies"), F.min("middle").alias("middle"), *[F.min(c).alias(c) for c in facts])
+    plan = written(plan.where("copies > 0").select("mark", F.struct("middle", *facts).alias("plan")), "mix")
+    mark, own, n, place = fresh(docs, "mark", "plan", "n", "place")
+    taken = docs.withColumn(mark, row_mark(docs)).join(plan.select(F.col("mark").alias(mark), F.col("plan").alias(own)), mark)
+    taken = taken.withColumn(n, F.row_number().over(Window.partitionBy(mark).orderBy(mark)) - 1)  # of equal rows, which
+    size, source_size, target, slope = (F.col(own)[c] for c in facts)
+    middle = F.col(own)["middle"] + F.col(n) * size
+    taken = taken.withColumn(place, F.explode(places(copied(middle, size, source_size, target), middle, source_size, target, slope)))
+    return taken.orderBy(place, mark).select(*docs.columns)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

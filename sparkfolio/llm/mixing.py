@@ -62,6 +62,20 @@ def row_mark(docs: DataFrame, seed: int = SEED) -> Column:
     return F.xxhash64(docs["doc_id"].cast("string"), docs["source"].cast("string"), F.coalesce(docs["text"].cast("string"), F.lit("")), F.lit(seed))
 
 
+def copied(middle: Column, size: Column, source_size: Column, target: Column) -> Column:
+    """How many times a document is taken whose middle word is the ``middle``-th of its source."""
+    whole = F.floor(F.try_divide(target, source_size))
+    rest = target - whole * source_size
+    return F.when((source_size == 0) | (size == 0), 0).otherwise(whole + F.when(middle <= rest, 1).otherwise(0)).cast("long")
+
+
+def places(copies: Column, middle: Column, source_size: Column, target: Column, slope: Column) -> Column:
+    """The position of each of a document's copies: pass p (from 0) stands p * source_size words further on in the source's demand."""
+    passes = F.sequence(F.lit(0).cast("long"), F.greatest(copies, F.lit(1)) - 1)
+    each = F.transform(passes, lambda p: position((p * source_size + middle) / target, slope))
+    return F.when(copies > 0, each).otherwise(F.array().cast("array<double>"))
+
+
 def mixed(
     docs: DataFrame,
     weights: Sequence[float] = (3, 1, 2),
@@ -70,13 +84,14 @@ def mixed(
     slopes: Sequence[float] = (0.5, 0.0, -0.5),
     seed: int = SEED,
 ) -> DataFrame:
-    """(doc_id, source, mark, size, source_size, target, copies, taken, position) for every row of ``docs``.
+    """(doc_id, source, mark, size, source_size, target, copies, taken, position, positions, middle, slope) for every row of ``docs``.
 
     size is the number of words of the text (null: 0). A source of target T and size S takes its documents in the
     order of a hash: all of them floor(T / S) times, and once more those whose middle word lies below the rest of T.
     So taken (copies * size) differs from the target by about half a document, and no document is taken more than
-    ``most`` times. position places the middle of the document's own first passage on the curriculum (null if it is
-    not taken). Empty texts take nothing; a source without words has target 0; null is a source of its own, the
+    ``most`` times. Pass p of a document (from 0) stands where the source has given p * S words and those up to the
+    document's middle: positions are those places on the curriculum, one for each copy, and position is the first
+    (null if it is not taken). Of equal rows, each has a middle ``size`` words after that of the one before. Empty texts take nothing; a source without words has target 0; null is a source of its own, the
     last. Repeated rows count each; equal rows are interchangeable. Reruns agree. mark is the hash by which a row
     is found again. Other columns are not read.
     """
@@ -100,19 +115,24 @@ def mixed(
     inside = Window.partitionBy("source", "bucket").orderBy("mark", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = F.col("start") + F.sum("size").over(inside)
     spot = rows.withColumn("middle", ends - F.col("size") / 2)
-    whole = F.floor(F.try_divide(F.col("target"), F.col("source_size")))
-    rest = F.col("target") - whole * F.col("source_size")
-    copies = F.when((F.col("source_size") == 0) | (F.col("size") == 0), 0).otherwise(whole + F.when(F.col("middle") <= rest, 1).otherwise(0)).cast("long")
-    out = spot.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-    out = out.withColumn("position", F.when(F.col("copies") > 0, position(F.col("middle") / F.col("target"), F.col("slope"))))
-    return out.select("doc_id", "source", "mark", "size", "source_size", "target", "copies", "taken", "position")
+    out = spot.withColumn("copies", copied(F.col("middle"), F.col("size"), F.col("source_size"), F.col("target")))
+    out = out.withColumn("taken", F.col("copies") * F.col("size"))
+    out = out.withColumn("positions", places(F.col("copies"), F.col("middle"), F.col("source_size"), F.col("target"), F.col("slope")))
+    out = out.withColumn("position", F.get("positions", F.lit(0)))
+    return out.select("doc_id", "source", "mark", "size", "source_size", "target", "copies", "taken", "position", "positions", "middle", "slope")
+
+
+def takes(docs: DataFrame, **options) -> DataFrame:
+    """``mixed`` with a row for each copy that is taken, at a position of its own, range-sorted: training order, repeats included."""
+    each = mixed(docs, **options).withColumn("position", F.explode("positions")).drop("positions")
+    return each.orderBy("position", "mark", "doc_id")
 
 
 def curriculum(docs: DataFrame, **options) -> DataFrame:
-    """``mixed``, range-sorted by position: training order, with the rows that are not taken last."""
+    """``mixed``, range-sorted by the first position, with the rows that are not taken last; ``takes`` has the repeats."""
     return mixed(docs, **options).orderBy(F.col("position").asc_nulls_last(), "mark", "doc_id")
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
-    """The whole of ``documents``: sources weigh 3, 1, 2 in turn and share 150% of all words."""
-    return curriculum(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "position")
+    """The whole of ``documents``: sources weigh 3, 1, 2 in turn and share 150% of all words; positions has every copy's."""
+    return curriculum(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "position", F.array_join(F.col("positions").cast("array<string>"), ",").alias("positions"))

@@ -172,6 +172,17 @@ def test_mixing(spark):
     assert mixing.curriculum(table(spark, [])).count() == 0
 
 
+def test_repeats_have_positions_of_their_own(spark):
+    docs = table(spark, [(i, f"w{i} " * 10, "a" if i < 40 else "b") for i in range(100)])
+    got = mixing.takes(docs, slopes=(0.5, 0.0)).collect()
+    rows = [r for r in got if r.source == "a"]
+    assert len(rows) == 80 and rows[0].target == 2 * rows[0].source_size
+    done = [(1.5 - 0.5 * r.position) * r.position for r in rows]  # the demand met at a position
+    assert all(abs(d - (k + 0.5) / 80) < 1e-9 for k, d in enumerate(done))
+    assert sorted(r.doc_id for r in rows[:40]) == sorted(r.doc_id for r in rows[40:]) == list(range(40))
+    assert [r.position for r in got] == sorted(r.position for r in got)
+
+
 # --- 3
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 
 pytest.importorskip("corpus_pipeline")
 
 import corpus_pipeline  # noqa: E402
 
+from sparkfolio.llm import mixing  # noqa: E402
 from sparkfolio.llm.shared import written  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -30,3 +33,14 @@ def test_stages(spark):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "shard", "shard_rows", "version"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_source_mix_takes_equal_rows_as_planned_and_places_repeats(spark):
+    rows = [(1, "same " * 10, "b")] * 31 + [(i, f"v{i} " * 10, "a") for i in range(100, 110)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    plan = mixing.takes(docs)
+    got = [r.doc_id for r in corpus_pipeline.source_mix(spark, docs, SF).collect()]
+    assert Counter(got) == Counter(r.doc_id for r in plan.collect())
+    assert 31 < got.count(1) < 62
+    a = [k for k, i in enumerate(got) if i >= 100]
+    assert len(a) == 20 and sorted(got[k] for k in a[:10]) == sorted(got[k] for k in a[10:]) and a[-1] > 0.9 * len(got)
