@@ -1,9 +1,9 @@
 """Personal data by patterns, and terms that disclose it by corpus statistics (operator 3).
 
 Information-theoretic sanitisation: the information of an entity e is -log2 p(e), and a term t tells
-log2(p(t, e) / (p(t) p(e))) of it, with p estimated over all documents. Terms that tell at least a given part of
-the entity's information, and occur with it in enough documents, are spans of kind "term" in the documents that
-hold the entity. Everything is DataFrame expressions.
+log2(p(t, e) / (p(t) p(e))) of it, with p estimated over all documents and p(e | t) at the lower end of its confidence
+interval. Terms that tell at least a given part of the entity's information are spans of kind "term" in the documents
+that hold the entity. Everything is DataFrame expressions.
 
 Patterns are written so that none is tried again within a run of characters in which it has already failed: a
 match starts where a run starts, or where the match before it ended. That gives the leftmost matches of the plain
@@ -26,6 +26,8 @@ PATTERN = {
 }
 #: What a text must hold for the kind to occur at all.
 HINT = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
+#: Wilson's interval at 95%; terms in more than one of so many texts are counted as frequent.
+Z, OFTEN = 1.96, 1000
 WORD = r"[\p{L}\p{N}]++"
 GENERAL = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>"}
 
@@ -75,36 +77,47 @@ def shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def disclosing_terms(held: DataFrame, docs: DataFrame, part: float = 0.8, support: int = 8) -> DataFrame:
-    """(kind, value, term): terms that tell at least ``part`` of the information of an entity.
+def _assured(hits: Column, of: Column) -> Column:
+    """The least p at which ``hits`` in ``of`` are no surprise: the lower end of Wilson's interval at Z."""
+    share = hits / of
+    return (share + Z * Z / (2 * of) - Z * F.sqrt(share * (1 - share) / of + Z * Z / (4 * of * of))) / (1 + Z * Z / of)
 
-    ``held``: (row, text, kind, value), one row for each entity of a document; ``docs``: (text), every document.
-    An entity and a term must share ``support`` documents of different texts. p is estimated over the distinct texts,
-    so that copies of one text are no evidence.
+
+def disclosing_terms(held: DataFrame, docs: DataFrame, part: float = 0.8) -> DataFrame:
+    """(t, term): terms that tell at least ``part`` of the information of an entity of the text of hash t.
+
+    ``held``: (text, kind, value), one row for each entity of a document; ``docs``: (text), every document. All counts
+    are of distinct texts, so that copies of one text are no evidence, and are exact. What a term tells is taken at
+    the lower end of the confidence interval of p(e | t), at any number of texts: the fewer, the less it tells.
+    Entities that stand in the same texts have the same terms and are taken together.
     """
-    texts = docs.select(F.xxhash64("text").alias("t"), "text").where("text <> ''")
-    total = texts.agg(F.approx_count_distinct("t", 0.01).alias("total"))
-    own = held.select(F.xxhash64("text").alias("t"), "text", "kind", "value").dropDuplicates(["t", "kind", "value"])
-    entities = written(own.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= support), "entities")
-    met = own.join(entities, ["kind", "value"])
+    texts = docs.select(F.xxhash64("text").alias("t"), "text").where("text <> ''").dropDuplicates(["t"])
 
     def terms(text: Column) -> Column:
         return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
-    pairs = met.select("t", "kind", "value", "n_e", F.explode(terms(F.col("text"))).alias("term"))
-    pairs = written(pairs.groupBy("kind", "value", "n_e", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support), "pairs")
-    if pairs.isEmpty():
-        return pairs.select("kind", "value", "term")
-    wanted = pairs.select("term").distinct()
-    counts = texts.select("t", F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.approx_count_distinct("t", 0.02).alias("n_t"))
-    counts = written(counts.join(wanted, "term", "left_semi"), "terms")
-    known = pairs.join(counts, "term").crossJoin(F.broadcast(total))  # total is one row
-    info = -F.log2(F.col("n_e") / F.col("total"))
-    told = F.log2(F.col("n_te") * F.col("total") / (F.greatest("n_t", "n_te") * F.col("n_e")))
-    return known.where((info > 0) & (told >= part * info)).select("kind", "value", "term")
-
-
-def personal_data(docs: DataFrame, part: float = 0.8, support: int = 8) -> DataFrame:
+    counts = written(texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "terms")
+    total = docs.select(F.xxhash64("text").alias("t")).where("text <> ''").distinct().count()
+    own = held.select(F.xxhash64("text").alias("t"), "kind", "value").distinct()
+    entities = own.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_e"), F.bit_xor("t").alias("x"), F.bit_xor(F.xxhash64("t", F.lit(1))).alias("y"))
+    entities = entities.where(F.col("n_e") < total)  # what stands everywhere has no information
+    classes = written(own.join(entities, ["kind", "value"]).select("t", "n_e", F.xxhash64("n_e", "x", "y").alias("class")).distinct(), "entities")
+    words = held.select(F.xxhash64("text").alias("t"), "text").dropDuplicates(["t"]).select("t", F.explode(terms(F.col("text"))).alias("term"))
+    met = written(classes.join(words, "t").select("class", "n_e", "t", "term"), "met")
+    pairs = written(met.groupBy("class", "n_e", "term").agg(F.count(F.lit(1)).alias("n_te")), "pairs")
+
+    # A term's count comes to each of its pairs; the counts of terms in many texts, few, are broadcast.
+    often = F.col("n_t") * OFTEN > total
+    known = pairs.join(F.broadcast(counts.where(often)), "term", "left")
+    rare = known.where("n_t is null").drop("n_t").join(counts.where(~often), "term")
+    known = known.where("n_t is not null").select("class", "n_e", "term", "n_te", "n_t").unionByName(rare)
+    info = F.log2(F.lit(float(total)) / F.col("n_e"))
+    told = F.log2(_assured(F.col("n_te"), F.col("n_t")) * float(total) / F.col("n_e"))
+    telling = written(known.where(told >= part * info).select("class", "term"), "telling")
+    return met.join(telling, ["class", "term"], "left_semi").select("t", "term").distinct()
+
+
+def personal_data(docs: DataFrame, part: float = 0.8) -> DataFrame:
     """The rows and columns of ``docs`` (doc_id, text and any others) with two arrays of spans.
 
     base: the e-mail addresses, IPv4 addresses, card and phone numbers, leftmost and non-overlapping for each kind;
@@ -117,16 +130,15 @@ def personal_data(docs: DataFrame, part: float = 0.8, support: int = 8) -> DataF
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     mark = F.xxhash64(text, F.sha2(text, 256))  # of a text: its terms are the same in every copy
     held = written(docs.select(text.alias("text")).select("text", F.explode(base_spans(F.col("text"))).alias("s")).select("text", F.col("s.kind").alias("kind"), F.lower("s.match").alias("value")), "held")
-    risky = disclosing_terms(held, docs.select(text.alias("text")), part, support)
-    risky = risky.join(held.select("kind", "value", F.col("text")).distinct(), ["kind", "value"]).select("text", "term").distinct()
-    cut = risky.groupBy("text").agg(F.collect_set("term").alias("terms"))
-    parts = cut.select("text", "terms", F.posexplode(F.arrays_zip(F.split("text", WORD, -1).alias("g"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("m"))).alias("i", "x"))
-    to = Window.partitionBy("text").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = F.sum(F.length("x.g") + F.coalesce(F.length("x.m"), F.lit(0))).over(to)
-    word = parts.withColumn("end", ends.cast("int")).where(F.array_contains("terms", F.lower("x.m")))
+    risky = disclosing_terms(held, docs.select(text.alias("text")), part).groupBy("t").agg(F.collect_set("term").alias("terms"))  # at most the words of a text
+    cut = held.select(F.xxhash64("text").alias("t"), "text").dropDuplicates(["t"]).join(risky, "t").select(F.xxhash64("text", F.sha2("text", 256)).alias(row), "text", "terms")
+    cut = cut.select(row, "terms", F.posexplode(F.arrays_zip(F.split("text", WORD, -1).alias("g"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("m"))).alias("i", "x"))
+    parts = cut.select(row, "i", (F.length("x.g") + F.coalesce(F.length("x.m"), F.lit(0))).alias("n"), F.when(F.array_contains("terms", F.lower("x.m")), F.col("x.m")).alias("m"))
+    to = Window.partitionBy(row).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    word = parts.withColumn("end", F.sum("n").over(to).cast("int")).where("m is not null")
     rank = F.lit(len(KINDS))
-    one = F.struct((F.col("end") - F.length("x.m")).alias("start"), rank.alias("rank"), F.lit("term").alias("kind"), F.col("end").alias("end"), F.col("x.m").alias("match"))
-    added = word.groupBy("text").agg(F.collect_list(one).alias("more")).select(F.xxhash64("text", F.sha2("text", 256)).alias(row), "more")
+    one = F.struct((F.col("end") - F.length("m")).alias("start"), rank.alias("rank"), F.lit("term").alias("kind"), F.col("end").alias("end"), F.col("m").alias("match"))
+    added = word.groupBy(row).agg(F.collect_list(one).alias("more"))
     out = found.withColumn(row, mark).join(added, row, "left")
 
     def apart(s):
