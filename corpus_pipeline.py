@@ -19,11 +19,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8, the one of the smallest doc_id; of repeated rows, one."""
-    found = jaccard_join(docs, n=5, percent=80)
-    (other,) = fresh(docs, "other")
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias(other)).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col(other), "left_anti")
+    """Of documents linked by five-word shingles at a similarity of 0.8, the one of the smallest doc_id (null: the last); of repeated rows, one.
+
+    Each row is joined under a number of its own, in the order of doc_id: neither a null nor an equal doc_id hides a copy.
+    """
+    row, other = fresh(docs, "row", "other")
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
+    numbered = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id())
+    numbered = written(numbered, "numbered")
+    found = jaccard_join(numbered.select(F.col(row).alias("doc_id"), "text"), n=5, percent=80)
+    bare = numbered.where(F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True)))  # they link with nothing
+    firsts = bare.groupBy("doc_id", "text").agg(F.min(row).alias(other)).select(other)
+    again = bare.select(row).join(firsts, F.col(row) == F.col(other), "left_anti")
+    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias(other)).unionByName(again.select(F.col(row).alias(other)))
+    return numbered.join(gone, F.col(row) == F.col(other), "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,18 @@ def test_run(spark):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_near_duplicates_leave_one_row_a_group(spark):
+    def words(k):
+        return " ".join(f"{k}x{i}" for i in range(60))
+
+    rows = [(5, words("a")), (5, words("a")), (9, words("a")), (None, words("a")), (None, words("b")), (None, words("b")), (None, words("b") + " end"), (7, words("c")), (7, words("d")), (8, None), (8, None), (None, ""), (None, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, row string").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, (r.text or "")[:2]) for r in got.collect()), key=str)
+    assert kept == sorted([(5, "ax"), (None, "bx"), (7, "cx"), (7, "dx"), (8, ""), (None, ""), (3, "")], key=str)
+
+
 def test_source_mix_takes_equal_rows_as_planned_and_places_repeats(spark):
     rows = [(1, "same " * 10, "b")] * 31 + [(i, f"v{i} " * 10, "a") for i in range(100, 110)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
