@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,13 +90,16 @@ def length_stats(chunks: DataFrame, keys: list[str], text: str) -> DataFrame:
     return out.select(*keys, "n", "avg_len", *[F.bround(F.element_at("p", i + 1), 1).alias(c) for i, c in ((1, "median_len"), (0, "p5_len"), (2, "p95_len"))])
 
 
-def _sums(points: DataFrame, key: str, vector: str, drop_zero: bool) -> DataFrame:
-    """(key, n, own, sums): vectors, the squares of their norms and the square of the norm of their sum, for each key."""
-    u = points.select(key, unit(F.col(vector)).alias("u"))
-    if drop_zero:
-        u = u.where(F.exists("u", lambda x: x != 0))
-    parts = u.select(key, F.posexplode("u").alias("i", "x")).groupBy(key, "i").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"), F.count(F.lit(1)).alias("n"))
-    return parts.groupBy(key).agg(F.max("n").alias("n"), F.sum("q").alias("own"), F.sum(F.col("s") * F.col("s")).alias("sums"))
+def _sums(points: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, n, own, sum): vectors, how many of them are not zero, and the sum of the unit vectors, for each key. Vectors have one length."""
+    u = points.where(F.col(vector).isNotNull()).select(key, unit(F.col(vector)).alias("u"))
+    u = u.select(key, F.exists("u", lambda x: x != 0).cast("int").alias("own"), array_to_vector("u").alias("u"))
+    out = u.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum("own").alias("own"), Summarizer.sum(F.col("u")).alias("sum"))
+    return out
+
+
+def _square(sum: str) -> Column:
+    return F.aggregate(vector_to_array(F.col(sum)), F.lit(0.0), lambda s, x: s + x * x)
 
 
 def mean_similarity(points: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
@@ -103,8 +108,8 @@ def mean_similarity(points: DataFrame, key: str, vector: str = "embedding") -> D
     The sum over pairs is half of the squared norm of the sum less the squared norms: no pair is formed. Zero
     vectors count as similar to nothing.
     """
-    s = _sums(points, key, vector, False).where("n >= 2")
-    return s.select(key, ((F.col("sums") - F.col("own")) / (F.col("n") * (F.col("n") - 1))).alias("sim"))
+    s = _sums(points, key, vector).where("n >= 2")
+    return s.select(key, ((_square("sum") - F.col("own")) / (F.col("n") * (F.col("n") - 1))).alias("sim"))
 
 
 def cross_similarity(points: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
@@ -112,11 +117,10 @@ def cross_similarity(points: DataFrame, key: str, vector: str = "embedding") ->
 
     The expectation of sampling such pairs, in place of a sample.
     """
-    u = points.select(key, unit(F.col(vector)).alias("u")).where(F.exists("u", lambda x: x != 0))
-    parts = u.select(key, F.posexplode("u").alias("i", "x")).groupBy(key, "i").agg(F.sum("x").alias("s"), F.count(F.lit(1)).alias("n"))
-    by_dim = parts.groupBy("i").agg(F.sum("s").alias("all"), F.sum(F.col("s") * F.col("s")).alias("own"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-    out = by_dim.agg((F.sum(F.col("all") * F.col("all")) - F.sum("own")).alias("top"), (F.max("n") * F.max("n") - F.max("nn")).alias("pairs"))
-    return out.select(F.coalesce(F.try_divide("top", F.nullif(F.col("pairs"), F.lit(0))), F.lit(0.0)).alias("sim"))
+    s = _sums(points, key, vector).where("own > 0")
+    out = s.agg(Summarizer.sum(F.col("sum")).alias("all"), F.sum(_square("sum")).alias("same"), F.sum("own").alias("n"), F.sum(F.col("own") * F.col("own")).alias("nn"))
+    pairs = F.nullif(F.col("n") * F.col("n") - F.col("nn"), F.lit(0))
+    return out.select(F.coalesce(F.try_divide(F.when(F.col("n") > 0, _square("all")) - F.col("same"), pairs), F.lit(0.0)).alias("sim"))
 
 
 def separation(intra: Column, inter: Column) -> Column:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, doubles
 
 OVERFETCH = 5
+#: Of the query vectors that go to all tasks at once; decimal digits of scores.
+BLOCK_BYTES, DIGITS = 16 << 20, 12
 
 
 @dataclass(frozen=True)
@@ -65,25 +70,82 @@ def results(found: DataFrame) -> DataFrame:
     return found.select(*fields, "score")
 
 
-def top_points_by_query(queries: DataFrame, points: DataFrame, k: int, where: Column | None = None) -> DataFrame:
+def _block_scores(ids: pa.Array, vectors: np.ndarray, k: int, skip_own: bool):
+    """For mapInArrow over (point_id, paper_id, embedding): the k best points of a task for each of a block of queries, by one matrix product a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, least = None, np.full(len(vectors), -np.inf)
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            size = pc.list_value_length(table.column("embedding"))
+            table = table.filter(pc.equal(size, vectors.shape[1]))
+            if not table.num_rows:
+                continue
+            x = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, vectors.shape[1])
+            norm = np.linalg.norm(x, axis=1)
+            fine = norm > 0
+            scores = np.round(vectors @ (x / np.where(fine, norm, 1.0)[:, None]).T, DIGITS)
+            scores[:, ~fine | np.isnan(norm)] = -np.inf
+            if skip_own:
+                own = np.flatnonzero(pc.is_in(table.column("point_id"), ids).to_numpy(zero_copy_only=False))
+                at = pc.index_in(table.column("point_id").take(pa.array(own)), ids).to_numpy(zero_copy_only=False)
+                scores[at, own] = -np.inf
+            cut = least if scores.shape[1] <= k else np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
+            q, row = np.nonzero((scores >= cut[:, None]) & (scores > -np.inf))
+            if not len(q):
+                continue
+            some = table.select(["point_id", "paper_id"]).take(pa.array(row))
+            some = some.append_column("q", pa.array(q)).append_column("score", pa.array(scores[q, row]))
+            held = _best(some if held is None else pa.concat_tables([held, some]), k)
+            n = np.bincount(held.column("q").to_numpy(), minlength=len(vectors))
+            full = np.flatnonzero(n == k)
+            least[full] = held.column("score").to_numpy()[np.cumsum(n)[full] - 1]
+        if held is not None:
+            out = pa.table({"query_id": ids.take(held.column("q").combine_chunks()), "point_id": held.column("point_id"), "paper_id": held.column("paper_id"), "score": held.column("score")})
+            yield from out.combine_chunks().to_batches()
+
+    return run
+
+
+def _best(rows: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each q, sorted; ties by point_id."""
+    rows = rows.take(pc.sort_indices(rows, [("q", "ascending"), ("score", "descending"), ("point_id", "ascending")]))
+    q = rows.column("q").to_numpy()
+    rank = np.arange(len(q)) - np.searchsorted(q, q)
+    return rows.filter(pa.array(rank < k))
+
+
+def top_points_by_query(queries: DataFrame, points: DataFrame, k: int, skip_own: bool = False) -> DataFrame:
     """(query_id, point_id, paper_id, score, rank) for many queries at once: ``queries`` is (query_id, query).
 
-    Each query meets every point; queries are one side of a nested loop that Spark broadcasts only if its size allows,
-    and a limit within each query is pushed below the exchange.
+    Queries go to all tasks in blocks of at most ``BLOCK_BYTES``; for each block the points are scanned once, and a task keeps
+    the k best of each query. Scores have ``DIGITS`` digits; ties by point_id. Queries and points that are null, zero, or of
+    another length than a block's first query have no score. ``skip_own`` leaves out the point whose id is the query's.
     """
-    q = queries.select("query_id", doubles(F.col("query")).alias("query"))
-    p = points.select("point_id", "paper_id", F.col("embedding"))
-    pairs = p.crossJoin(q)  # a stated set of queries against all points
-    if where is not None:
-        pairs = pairs.where(where)
-    scored = pairs.select("query_id", "point_id", "paper_id", cosine(F.col("embedding"), F.col("query")).alias("score")).where("score is not null")
+    q = queries.select("query_id", doubles(F.col("query")).alias("query")).where("query_id is not null and query is not null and size(query) > 0")
+    facts = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query")).alias("d")).first()
+    blocks = -(-facts["n"] * 8 * (facts["d"] or 1) // BLOCK_BYTES)
+    kinds = {f.name: f.dataType.simpleString() for f in points.schema}
+    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, point_id {kinds['point_id']}, paper_id {kinds['paper_id']}, score double"
+    own = points.select("point_id", "paper_id", doubles(F.col("embedding")).alias("embedding")).where("embedding is not null and forall(embedding, x -> x is not null)")
+    scored = points.sparkSession.createDataFrame([], schema)
+    for block in range(blocks):
+        some = q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toArrow().combine_chunks()
+        for d in sorted({int(x) for x in pc.unique(pc.list_value_length(some.column("query"))).to_pylist()}):
+            same = some.filter(pc.equal(pc.list_value_length(some.column("query")), d))
+            x = same.column("query").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            norm = np.linalg.norm(x, axis=1)
+            fine = norm > 0
+            if fine.any():
+                ids = same.column("query_id").combine_chunks().filter(pa.array(fine))
+                scored = scored.unionByName(own.mapInArrow(_block_scores(ids, x[fine] / norm[fine][:, None], k, skip_own), schema))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "point_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def ranked_papers(queries: DataFrame, points: DataFrame, k: int, where: Column | None = None) -> DataFrame:
+def ranked_papers(queries: DataFrame, points: DataFrame, k: int, skip_own: bool = False) -> DataFrame:
     """(query_id, paper_id, score, rank): for each query the k best papers among its 5k best points."""
-    hits = top_points_by_query(queries, points, OVERFETCH * k, where).drop("rank")
+    hits = top_points_by_query(queries, points, OVERFETCH * k, skip_own).drop("rank")
     papers = hits.groupBy("query_id", "paper_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "paper_id")
     return papers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -212,9 +212,9 @@ def point_ids_uuid5(spark, sf_dir):
 
 
 @query(_CHUNKED + """SELECT c.paper_id, c.chunk_index, c.total_chunks, 'sentence_split' AS chunking_method, d.source AS journal, (2010 + d.doc_id % 15)::INT AS year, d.n_chars AS citation_count
-FROM chunks c JOIN documents d ON c.paper_id = d.doc_id WHERE d.lang = 'fr'""")
+FROM chunks c JOIN documents d ON c.paper_id = d.doc_id """)
 def denormalize_payload(spark, sf_dir):
-    d = _read(spark, sf_dir, "documents").where("lang = 'fr'")
+    d = _read(spark, sf_dir, "documents")
     papers = d.select(F.col("doc_id").alias("paper_id"), F.col("source").alias("journal"), (2010 + F.col("doc_id") % 15).cast("int").alias("year"), F.col("n_chars").alias("citation_count"))
     chunks = chunk(_spread(d.select(F.col("doc_id").alias("paper_id"), "text")), ["paper_id"], "text")
     return chunks.join(papers, "paper_id").select("paper_id", "chunk_index", "total_chunks", F.lit("sentence_split").alias("chunking_method"), "journal", "year", "citation_count")
@@ -277,11 +277,11 @@ def topk_multi_query(spark, sf_dir):
     return ranked_papers(_queries(p), p, 10).select("query_id", "paper_id", F.round("score", 6).alias("score"), "rank")
 
 
-@query(rf"""WITH s AS (SELECT doc_id, unnest({_SENTENCES}) AS s FROM documents WHERE lang = 'en')
+@query(rf"""WITH s AS (SELECT doc_id, unnest({_SENTENCES}) AS s FROM documents)
 SELECT doc_id AS paper_id, 1::INT AS slot, 'abstract_sentence' AS query_type, s AS query_text FROM s WHERE length(s) BETWEEN 40 AND 200 AND NOT regexp_matches(s, '\[\d+\]') AND NOT regexp_matches(s, '[{{}}=]') AND NOT contains(s, 'http')
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY sha1('42:' || doc_id || ':1:' || s), s) = 1""")
 def benchmark_sentences(spark, sf_dir):
-    d = _spread(_read(spark, sf_dir, "documents").where("lang = 'en'"))
+    d = _spread(_read(spark, sf_dir, "documents"))
     return sentence_queries(d.select(F.col("doc_id").alias("paper_id"), F.col("doc_id").alias("point_id"), F.lit("abstract").alias("section_type"), F.col("text").alias("chunk_text")))
 
 
@@ -295,7 +295,7 @@ SELECT coalesce(query_type, 'ALL') AS query_type, count(*) AS total, count(rank)
 round_even(avg(CASE WHEN rank <= 10 THEN 1.0 ELSE 0.0 END), 3) AS recall_at_10, round_even(avg(coalesce(1.0::DOUBLE / rank, 0)), 3) AS mrr FROM r GROUP BY GROUPING SETS ((), (query_type))""")
 def retrieval_quality(spark, sf_dir):
     p = _points(spark, sf_dir)
-    ranked = ranked_papers(_queries(p), p, 10, F.col("point_id") != F.col("query_id"))
+    ranked = ranked_papers(_queries(p), p, 10, skip_own=True)
     return retrieval_metrics(rank_of_source(_sourced(p), ranked))
 
 
@@ -305,8 +305,7 @@ SELECT count(*) FILTER (a AND b) AS both, count(*) FILTER (a AND NOT b) AS a_onl
 round_even(count(*) FILTER (a) / greatest(count(*), 1), 3) AS recall_a, round_even(count(*) FILTER (b) / greatest(count(*), 1), 3) AS recall_b FROM r""")
 def compare_collections(spark, sf_dir):
     p = _points(spark, sf_dir)
-    other = F.col("point_id") != F.col("query_id")
-    a, b = (rank_of_source(_sourced(p), ranked_papers(_queries(p), p.where(F.col("point_id") % 2 == r), 10, other)).select("query_id", F.col("rank").isNotNull().alias(f"in_{n}")) for r, n in ((0, "a"), (1, "b")))
+    a, b = (rank_of_source(_sourced(p), ranked_papers(_queries(p), p.where(F.col("point_id") % 2 == r), 10, skip_own=True)).select("query_id", F.col("rank").isNotNull().alias(f"in_{n}")) for r, n in ((0, "a"), (1, "b")))
     return compare(a.join(b, "query_id"))
 
 
