@@ -1,21 +1,25 @@
 """Passages that repeat across documents, through compact windows (operator 5).
 
-Tokens are the five-word shingles of a text. For one hash function a compact window (l, c, r) stands for all
-subsequences of at least T tokens that lie within l..r and hold c, where the least hash is: the nodes of the Cartesian
-tree over the hashes whose span is that long. Every subsequence of T tokens has one window for each function, so two
-texts that share a passage meet in the value at c; under FUNCTIONS functions a passage of Jaccard similarity 0.8 meets
-at least once but in 0.8% of cases, an equal one always.
-
-Windows whose value is shared are placed by what stands around c: blocks of CONTEXT tokens on either side, of which a
-passage with one substitution in T tokens keeps one, and so does
-a run of one and a half blocks in which c stands. Members of a place are held against two of them (the first and the
-last document), by aligning the texts from c on, over gaps where words are changed, put in or left out: what is kept is
-the longest stretch around c of at least T tokens whose Jaccard similarity, taken exactly, is 0.8 or more.
+Tokens are the five-word shingles of a text. For one hash function a compact window stands for all subsequences of
+SPAN tokens whose least hash is at one place c: a node of the Cartesian tree over the hashes, with the range of starts
+lo..hi for which it is the least. The windows of FUNCTIONS functions are joined on their intervals: where all of them
+overlap, the subsequences share a signature, the values at their places, which is the key that texts meet by. SPAN is
+the longest run of equal tokens that any two similar passages of the least length must have, whatever words were
+changed, put in or left out, so that such passages share the signatures of that run.
+
+Texts of the same words are one, known by a hash. The members of a key are held against its first document: the two
+texts are aligned from c on, over gaps where words differ, and the longest stretch around c of at least ``least`` tokens
+whose Jaccard similarity, taken exactly, is high enough is kept. A member without one says where it leaves that
+document and by which token; members that leave it alike meet again under that key, with a representative of their
+own, until no key has members that are apart. So a passage within a more common one is found as well, and a group of
+any size costs rows in proportion to it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,88 +27,127 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bloom, maybe, only
-from .shared import fresh, table, written
+from .shared import forget, fresh, table, written
 from .tokens import U, mix, shingles, slices, words
 
 SHINGLE, LEAST_WORDS, SIMILARITY = 5, 50, 0.8
-FUNCTIONS, CONTEXT = 3, 12
+FUNCTIONS = 2
 _SEEDS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * U(0x9FB21C651E98DF25))
+#: Tokens of texts that a task keeps for the next pairs.
+KEPT = 1 << 21
 
 
-def compact_windows(hashes: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(l, c, r), r exclusive, of the Cartesian tree's nodes over at least ``least`` tokens; the first of equal minima is c."""
-    out, todo = [], [(0, len(hashes))]
-    while todo:
-        left, right = todo.pop()
-        if right - left >= least:
-            c = left + int(hashes[left:right].argmin())
-            out.append((left, c, right))
-            todo += [(left, c), (c + 1, right)]
-    return out
+def equal_run(least: int, similarity: float) -> int:
+    """The longest run of equal tokens that two passages of ``least`` tokens or more and of that similarity must share.
+
+    A changed word takes SHINGLE tokens of either side. Passages with e changes have at least e * SHINGLE * (1 + s) / (1 - s)
+    tokens, of which e * SHINGLE differ, and the others make e + 1 runs.
+    """
+    best = least
+    for changes in range(1, 1000):
+        if similarity >= 1:
+            break
+        tokens = max(least, math.ceil(changes * SHINGLE * (1 + similarity) / (1 - similarity)))
+        if changes * SHINGLE * (1 + similarity) / (1 - similarity) <= tokens:
+            best = min(best, -(-(tokens - changes * SHINGLE) // (changes + 1)))
+    return max(1, best)
+
 
+def compact_windows(hashes: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lo, hi, c) of all compact windows, in order: of subsequences of ``span`` tokens that begin in lo..hi, the least hash is at c, the first of equal ones.
+
+    ``ends`` has, for every token, the end of its text; no subsequence crosses it. These are the nodes of the Cartesian
+    tree over at least ``span`` tokens; sliding minima find them in time linear in the tokens, whatever they are.
+    """
+    n = len(hashes)
+    if n < span:
+        none = np.empty(0, np.int64)
+        return none, none, none
+    place = U((1 << n.bit_length()) - 1)  # a token's place follows its hash, so that the first of equal ones is the least
+    full = np.full(-(-n // span) * span, ~U(0))
+    full[:n] = (hashes & ~place) | np.arange(n, dtype=np.uint64)
+    blocks = full.reshape(-1, span)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    at = (np.minimum(behind[: n - span + 1], ahead[span - 1 : n]) & place).astype(np.int64)
+    starts = np.flatnonzero(np.arange(n - span + 1) + span <= ends[: n - span + 1])
+    at = at[starts]
+    first = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(starts, prepend=-2) != 1))
+    last = np.append(first[1:], len(starts))[: len(first)] - 1
+    return starts[first], starts[last], at[first]
+
+
+def interval_join(windows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(first start, places of each function) of every range of starts in which windows of all functions overlap.
+
+    Each function's windows cover the same starts once, so a range begins where any window does.
+    """
+    begin = reduce(np.union1d, [lo for lo, _, _ in windows])
+    return begin, [c[np.searchsorted(lo, begin, "right") - 1] for lo, _, c in windows]
 
-def _windows(row: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key of function and value, place c) of a text's windows; ``row`` are its tokens."""
-    keys, places = [], []
-    for seed in _SEEDS:
-        h = mix(row ^ seed)
-        at = np.array([c for _, c, _ in compact_windows(h, least)], dtype=np.int64)
-        keys.append(h[at])
-        places.append(at)
-    return np.concatenate(keys), np.concatenate(places)
 
+def signatures(hashes: np.ndarray, rows: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, place in the row, end of the row's tokens) of the signatures of texts; their word hashes are cut at ``rows``.
 
-def _keyed(least: int):
+    Consecutive equal keys of a text, as periodic ones have, are given once.
+    """
+    tokens = shingles(hashes, SHINGLE) if len(hashes) >= SHINGLE else hashes[:0]
+    ends = np.repeat(rows[1:], np.diff(rows))[: len(tokens)] - SHINGLE + 1
+    begin, places = interval_join([compact_windows(mix(tokens ^ seed), ends, span) for seed in _SEEDS])
+    key = np.zeros(len(begin), dtype=np.uint64)
+    for k, c in enumerate(places):
+        key = mix(key ^ (tokens[c] + U(k + 1)))
+    row = np.searchsorted(rows, begin, "right") - 1
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+    return row[new], key[new].view(np.int64), places[0][new] - rows[row[new]], tokens
+
+
+def _keyed(span: int, least_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, rows = words(part.column("text"))
-                keys = []
-                for i in range(part.num_rows):
-                    own = hashes[rows[i] : rows[i + 1]]
-                    keys.append(np.unique(_windows(shingles(own, SHINGLE), least)[0]).view(np.int64) if len(own) >= least + SHINGLE - 1 else np.empty(0, np.int64))
-                ends = np.cumsum([0, *map(len, keys)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(rows), pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))], names=["doc_id", "n_words", "keys"])
+                size = np.diff(rows)
+                at = np.arange(len(hashes)) - np.repeat(rows[:-1], size)
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ mix(at.astype(np.uint64) + U(1))))])
+                row, key, _, _ = signatures(hashes, rows, span)
+                long = size[row] >= least_words
+                row, key = row[long], key[long]
+                ends = np.searchsorted(row, np.arange(part.num_rows + 1))
+                columns = [part.column("doc_id"), pa.array(size, pa.int64()), pa.array((sums[rows[1:]] - sums[rows[:-1]]).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(key))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "same", "keys"])
 
     return run
 
 
-def _stretches(least: int) -> list[tuple[int, int]]:
-    """Spans (from, to) around c, one of which keeps its tokens in any passage of ``least`` tokens that holds c and has at most one substitution."""
-    near = min(CONTEXT, max(1, (least - 2 * SHINGLE) // 3))
-    far = near + SHINGLE + 1
-    return [(0, near + 1), (far, far + near), (-near, 1), (1 - far - near, 1 - far), (-(near // 2), near - near // 2 + 1)]
+def _asking(bits):
+    """(doc_id, n_words, same) of the texts that may share a key."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("keys")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            keep[row[maybe(bits.value, keys.flatten().to_numpy(zero_copy_only=False))]] = True
+            if keep.any():
+                yield batch.select(["doc_id", "n_words", "same"]).filter(pa.array(keep))
 
-def place_keys(row: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, place) for each stretch around each place, of those that lie within the text."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(row + U(1)))])
-    keys, places = [], []
-    for j, (a, b) in enumerate(_stretches(least)):
-        c = at[(at + a >= 0) & (at + b <= len(row))]
-        keys.append(mix((sums[c + b] - sums[c + a]) ^ (row[c] + U(j))))
-        places.append(c)
-    return np.concatenate(keys), np.concatenate(places)
+    return run
 
 
-def _placed(bits, docs_bits, least: int):
-    """(place key, doc_id, c): windows whose value may be shared, by the tokens around c."""
+def _placed(bits, docs_bits, span: int, least_words: int):
+    """(key, doc_id, c) of the signatures that may be shared."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in only("doc_id", docs_bits)(batches):
             for part in slices(batch, "text"):
                 hashes, rows = words(part.column("text"))
-                keys, docs, places = [], [], []
-                for i, d in enumerate(part.column("doc_id").to_pylist()):
-                    own = shingles(hashes[rows[i] : rows[i + 1]], SHINGLE)
-                    if rows[i + 1] - rows[i] < least + SHINGLE - 1:
-                        continue
-                    key, at = _windows(own, least)
-                    key, at = place_keys(own, np.unique(at[maybe(bits.value, key.view(np.int64))]), least)
-                    keys.append(key.view(np.int64))
-                    docs.append(np.full(len(at), d, dtype=np.int64))
-                    places.append(at)
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, docs, places)], names=["key", "doc_id", "c"])
+                row, key, c, _ = signatures(hashes, rows, span)
+                keep = maybe(bits.value, key) & (np.diff(rows)[row] >= least_words)
+                if keep.any():
+                    docs = part.column("doc_id").to_numpy(zero_copy_only=False)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(docs[row[keep]], pa.int64()), pa.array(c[keep])], names=["key", "doc_id", "c"])
 
     return run
 
@@ -159,74 +202,101 @@ def _chain(a: np.ndarray, b: np.ndarray, shared: int, least: int, similarity: fl
         x, y = x + gap[0], y + gap[1]
 
 
+def _similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    own, other = np.unique(a), np.unique(b)
+    both = len(np.intersect1d(own, other, assume_unique=True))
+    return both >= similarity * (len(own) + len(other) - both)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similarity: float) -> tuple[tuple[int, int], tuple[int, int], bool]:
-    """(from, to) in a and in b of the longest stretch around the common place that is similar enough, words put in or left out, and True; of the equal run around it and False if there is none."""
+    """(from, to) in a and in b of the longest stretch around the common place that is similar enough, words put in or left out, and True; of the equal run around it and False if there is none.
+
+    Stretches begin and end with equal tokens. Their two sides are chosen together: for each end on the left the farthest
+    on the right with which both texts have ``least`` tokens and enough of them are equal, the longest such stretch first.
+    """
     if a[at] != b[to]:
         return (at, at + 1), (to, to + 1), False
     back, ahead = a[:at][::-1], b[:to][::-1]
     before, after = _equal(back, ahead), _equal(a[at:], b[to:])
     run = (at - before, at + after), (to - before, to + after)
     left = _chain(back, ahead, after, least, similarity)
-    right = _chain(a[at:], b[to:], int(left[-1, 2]), least, similarity)
-    p, q, equal = (left[:, None, k] + right[None, 1:, k] for k in range(3))
-    fit = (np.minimum(p, q) >= least) & (equal >= similarity * (p + q - equal))
-    tries = np.flatnonzero(fit)
-    for k in tries[np.argsort(-(p + q).ravel()[tries], kind="stable")][:8]:
-        i, j = divmod(int(k), len(right) - 1)
-        (u, v, _), (x, y, _) = left[i].tolist(), right[j + 1].tolist()
+    right = _chain(a[at:], b[to:], int(left[-1, 2]), least, similarity)[1:]
+    tries = []
+    for u, v, equal in left.tolist():  # one side at a time, so that memory is linear
+        p, q, e = u + right[:, 0], v + right[:, 1], equal + right[:, 2]
+        fit = np.flatnonzero((np.minimum(p, q) >= least) & (e >= similarity * (p + q - e)))
+        if len(fit):
+            j = fit[(p + q)[fit].argmax()]
+            tries.append((int(p[j] + q[j]), u, v, int(right[j, 0]), int(right[j, 1]), bool(p[j] == q[j] == e[j])))
+    for _, u, v, x, y, equal in sorted(tries, reverse=True):
         mine, yours = (at - u, at + x), (to - v, to + y)
-        if p[i, j] == q[i, j] == equal[i, j]:
+        if equal or _similar(a[slice(*mine)], b[slice(*yours)], similarity):
             return mine, yours, True
-        own, other = np.unique(a[slice(*mine)]), np.unique(b[slice(*yours)])
-        both = len(np.intersect1d(own, other, assume_unique=True))
-        if both >= similarity * (len(own) + len(other) - both):
-            return mine, yours, True
-    return *run, run[0][1] - run[0][0] >= least
+    return *run, False
+
+
+def _parting(a: np.ndarray, mine: tuple[int, int], shift: int, b: int) -> list[tuple[int, int]]:
+    """(key, place) of the tokens at which a text leaves another, ``b``: just beyond their equal run, and beyond one changed word.
+
+    The key holds the place in ``b`` and the token that this text has there; others that leave ``b`` alike share it.
+    """
+    out = []
+    for side, pos in enumerate((mine[0] - 1, mine[0] - 1 - SHINGLE, mine[1], mine[1] + SHINGLE)):
+        if 0 <= pos < len(a):
+            facts = np.array([b & 0xFFFFFFFFFFFFFFFF, (pos - shift) & 0xFFFFFFFFFFFFFFFF, side // 2], dtype=np.uint64)
+            key = mix(mix(mix(mix(facts[:1]) ^ facts[1:2]) + facts[2:]) ^ a[pos : pos + 1])
+            out.append((int(key.view(np.int64)[0]), pos))
+    return out
 
 
 def _verified(least: int, similarity: float):
-    """The stretches that two texts share around the given places of the first; both texts' sides of them."""
+    """For pairs of texts and their common places: the stretches that they share, both texts' sides of them, and where the first leaves the second.
 
-    def tokens(texts: pa.Array, i: int) -> np.ndarray:
-        return shingles(words(texts.slice(i, 1))[0], SHINGLE)
+    Rows are (kind, doc_id, x, y, other): kind 0, a stretch from x to y that other has too; kind 1, key x and place y of a parting.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, right, keys, spots = None, None, None, None
+        kept: dict[int, np.ndarray] = {}
+
+        def tokens(doc: int, texts: pa.Array, i: int) -> np.ndarray:
+            if doc not in kept:
+                if sum(map(len, kept.values())) > KEPT:
+                    kept.clear()
+                kept[doc] = shingles(words(texts.slice(i, 1))[0], SHINGLE)
+            return kept[doc]
+
         for batch in batches:
             out = []
             for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
-                left = tokens(batch.column("ta"), i)
-                if b != last:
-                    last, right = b, tokens(batch.column("tb"), i)
-                    keys, spots = place_keys(right, np.unique(_windows(right, least)[1]), least)
-                    order = np.argsort(keys, kind="stable")
-                    keys, spots = keys[order], spots[order]
-                ats = np.array(batch.column("places")[i].as_py(), dtype=np.int64)
-                own, ats = place_keys(left, ats[ats < len(left)], least)
-                lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-                ats, lo, hi = ats[hi > lo], lo[hi > lo], hi[hi > lo]
-                if not len(ats):
-                    continue
-                # A key that recurs in b stands in a period of its text: the first and the last place reach all of it.
-                at, to = np.concatenate([ats, ats]), np.concatenate([spots[lo], spots[hi - 1]])
-                tries = np.unique((at << 31) | to)
-                at, shift = tries >> 31, (tries >> 31) - (tries & ((1 << 31) - 1))
-                order = np.argsort(shift, kind="stable")
-                at, shift = at[order], shift[order]
+                right = tokens(b, batch.column("tb"), i)
+                left = right if a == b else shingles(words(batch.column("ta").slice(i, 1))[0], SHINGLE)
+                spots = batch.column("places")[i].values
+                at, to = (spots.field(c).to_numpy(zero_copy_only=False) for c in ("ca", "cb"))
+                held = (at < len(left)) & (to < len(right))  # rows may share a doc_id
+                at, to = at[held], to[held]
+                order = np.lexsort((at, at - to))
+                at, shift = at[order], (at - to)[order]
                 covered = np.zeros(len(left), dtype=bool)
                 cut = np.flatnonzero(np.diff(shift, prepend=shift[:1] - 1))
                 groups = zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True)
                 for x, y in sorted(groups, key=lambda g: g[0] - g[1]):  # the shift that most places ask for first
                     move, todo = int(shift[x]), at[x:y]
-                    while len(todo := todo[~covered[todo]]):
+                    while len(todo := todo[~covered[todo]] if a != b else todo):
                         here = int(todo[0])
-                        mine, yours, good = aligned(left, right, here, here - move, least, similarity)
+                        if a == b:  # other places in the representative: they only part from its first
+                            low, high = max(0, here - 2 * least), here + 2 * least
+                            n, m = _equal(left[low:here][::-1], right[max(0, here - move - 2 * least) : here - move][::-1]), _equal(left[here:high], right[here - move : high - move])
+                            mine, good = (here - n, here + m), False
+                        else:
+                            mine, yours, good = aligned(left, right, here, here - move, least, similarity)
                         if good:
                             covered[slice(*mine)] = True
-                            out += [(a, mine[0], mine[1] + SHINGLE - 1, b), (b, yours[0], yours[1] + SHINGLE - 1, a)]
+                            out += [(0, a, mine[0], mine[1] + SHINGLE - 1, b), (0, b, yours[0], yours[1] + SHINGLE - 1, a)]
+                        else:
+                            out += [(1, a, key, pos, b) for key, pos in _parting(left, mine, move, b)]
                         todo = todo[todo >= mine[1]]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["doc_id", "start", "end", "other"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), *[pa.int64()] * 4), strict=True)], names=["kind", "doc_id", "x", "y", "other"])
 
     return run
 
@@ -237,29 +307,49 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float =
     Returns (sizes, spans): sizes is (doc_id, n_words), a row for every row of ``docs`` (doc_id and text); spans is
     (doc_id, start, end, first): words start..end-1 of the document stand, at a similarity of five-word shingles of
     ``similarity`` or more, in other documents too, and first is the smallest doc_id that such a stretch was verified
-    in, its own included. Spans may overlap. Null and short texts have none. Rows that share a doc_id are one document;
-    rows without doc_id are left out of the search. Repeats within one document alone are no repeats. Other columns
-    are not read.
+    in, its own included. Spans may overlap. Null and short texts have none, and so has an empty table. Rows that share
+    a doc_id are one document; rows without doc_id are left out of the search. Repeats within one document alone are no
+    repeats. Other columns are not read.
     """
     least = max(1, least_words - SHINGLE + 1)
+    span = equal_run(least, similarity)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = written(base.mapInArrow(_keyed(least), "doc_id long, n_words long, keys array<long>"), "window-keys")
-    entries = keyed.where("doc_id is not null").select("doc_id", F.explode("keys").alias("key"))
-    shared = written(entries.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("key", "lo", "hi"), "shared-keys")
+    keyed = written(base.mapInArrow(_keyed(span, least_words), "doc_id long, n_words long, same long, keys array<long>"), "signatures")
+    sizes = written(keyed.select("doc_id", "n_words", "same"), "sizes")
+    long = sizes.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= least_words))
+    texts = written(long.groupBy("same", "n_words").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "texts")
+
+    entries = keyed.where("doc_id is not null").select("same", F.explode("keys").alias("key"))
+    shared = entries.groupBy("key").agg(F.min("same").alias("lo"), F.max("same").alias("hi")).where("lo <> hi").select("key")
     bits = bloom(shared)
-    some = written(entries.mapInArrow(only("key", bits), entries.schema).select("doc_id").distinct(), "documents")
-
-    placed = base.where("doc_id is not null").mapInArrow(_placed(bits, bloom(some), least), "key long, doc_id long, c long")
-    placed = written(placed, "places")
-    ends = written(placed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi"), "centres")
-    pairs = placed.join(ends, "key").select(F.col("doc_id").alias("a"), F.explode(F.array("lo", "hi")).alias("b"), "c").where("a <> b")
-    pairs = written(pairs.groupBy("a", "b").agg(F.sort_array(F.collect_set("c")).alias("places")), "pairs")  # at most the windows of a
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    texts = base.where("doc_id is not null").mapInArrow(only("doc_id", bloom(ids)), base.schema)
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    found = both.select("a", "b", "places", "ta", "tb").mapInArrow(_verified(least, similarity), "doc_id long, start long, end long, other long")
-    spans = written(found.groupBy("doc_id", "start", "end").agg(F.least(F.min("other"), F.col("doc_id")).alias("first")), "spans")
-    return keyed.select("doc_id", "n_words"), spans
+    asking = keyed.where("doc_id is not null").mapInArrow(_asking(bits), "doc_id long, n_words long, same long")
+    asking = written(asking.join(texts.select("same", "n_words", "lo"), ["same", "n_words"]).where("doc_id = lo").select("doc_id").distinct(), "asking")
+    own = base.where("doc_id is not null")
+    members = written(own.mapInArrow(_placed(bits, bloom(asking), span, least_words), "key long, doc_id long, c long"), "places")
+    forget(keyed, asking)
+
+    found = []
+    while True:
+        ends = members.groupBy("key").agg(F.min(F.struct("doc_id", "c")).alias("rep"), F.max("doc_id").alias("hi")).where("rep.doc_id <> hi")
+        ends = written(ends.select("key", F.col("rep.doc_id").alias("b"), F.col("rep.c").alias("cb")), "representatives")
+        met = members.join(ends, "key").where("doc_id <> b or c <> cb").select(F.col("doc_id").alias("a"), "b", F.col("c").alias("ca"), "cb").distinct()
+        pairs = written(met.groupBy("a", "b").agg(F.collect_list(F.struct("ca", "cb")).alias("places")), "pairs")  # at most the places of a text
+        forget(members, ends)
+        if pairs.isEmpty():
+            forget(pairs)
+            break
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        needed = own.mapInArrow(only("doc_id", bloom(ids)), base.schema)
+        both = pairs.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+        found.append(written(both.select("a", "b", "places", "ta", "tb").mapInArrow(_verified(least, similarity), "kind int, doc_id long, x long, y long, other long"), "found"))
+        members = written(found[-1].where("kind = 1").select(F.col("x").alias("key"), "doc_id", F.col("y").alias("c")).distinct(), "places")
+        forget(pairs)
+    none = docs.sparkSession.createDataFrame([], "kind int, doc_id long, x long, y long, other long")
+    parts = reduce(DataFrame.unionByName, found, none).where("kind = 0").groupBy("doc_id", F.col("x").alias("start"), F.col("y").alias("end")).agg(F.least(F.min("other"), F.col("doc_id")).alias("first"))
+    whole = long.join(texts.where("lo <> hi"), ["same", "n_words"]).select("doc_id", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end"), F.col("lo").alias("first")).distinct()
+    spans = written(parts.unionByName(whole), "spans")
+    forget(*found, texts)
+    return sizes.select("doc_id", "n_words"), spans
 
 
 def merged(spans: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import random
 import re
@@ -279,13 +278,46 @@ def test_licenses_at_the_least_containment(spark):
 # --- 5
 
 
-def test_compact_windows_cover_each_stretch_once():
-    h = np.random.default_rng(1).integers(0, 50, 60).astype(np.uint64)
-    for least in (1, 5, 12):
-        windows = substring_dedup.compact_windows(h, least)
-        for i in range(60):
-            for j in range(i + least, 61):
-                assert sum(a <= i <= c < j <= b for a, c, b in windows) == 1
+def test_compact_windows_are_the_nodes_of_the_tree():
+    rng = np.random.default_rng(1)
+    for span in (1, 5, 12):
+        rows = np.array([0, 30, 30, 37, 120])
+        h = rng.integers(0, 40, 120).astype(np.uint64) << np.uint64(40)
+        ends = np.repeat(rows[1:], np.diff(rows))
+        lo, hi, c = substring_dedup.compact_windows(h, ends, span)
+        got = {i: int(at) for x, y, at in zip(lo, hi, c, strict=True) for i in range(x, y + 1)}
+        want = {i: i + int(h[i : i + span].argmin()) for i in range(120 - span + 1) if i + span <= ends[i]}
+        assert got == want and sum(hi - lo + 1) == len(want)
+        begin, places = substring_dedup.interval_join([(lo, hi, c)] * 2)
+        assert list(begin) == list(lo) and all((p == c).all() for p in places)
+
+
+def test_equal_run_is_what_passages_must_share():
+    assert substring_dedup.equal_run(46, 0.8) == 21 and substring_dedup.equal_run(46, 1.0) == 46
+    rng = random.Random(19)
+    for _ in range(300):
+        n = rng.randrange(46, 400)
+        lost = set()
+        for _ in range(rng.randrange(1, 9)):
+            at = rng.randrange(-4, n)
+            lost |= set(range(at, at + 5)) & set(range(n))
+        same = n - len(lost)
+        if same >= 0.8 * (n + len(lost)):
+            runs = "".join("." if i in lost else "x" for i in range(n)).split(".")
+            assert max(map(len, runs)) >= 21
+
+
+def test_signatures_of_periodic_and_very_long_texts_take_linear_time():
+    import time
+
+    took = []
+    for n in (200_000, 800_000):
+        for h in (np.full(n, 7, np.uint64), np.tile(np.random.default_rng(2).integers(0, 2**62, 30).astype(np.uint64), n // 30)):
+            began = time.perf_counter()
+            row, key, c, _ = substring_dedup.signatures(h, np.array([0, len(h)]), 21)
+            took.append(time.perf_counter() - began)
+            assert len(key) <= 4 * len(h) / 21 + 4
+    assert took[0] + took[1] < 5 and took[2] + took[3] < 12 * (took[0] + took[1])
 
 
 def test_substring_repeats(spark):
@@ -336,6 +368,77 @@ def test_aligned_over_a_word_put_in_and_one_left_out():
                     assert good and mine == (3, 3 + n - 4) and yours == (9, 9 + len(other) - 4)
 
 
+def edited(rng, words, changes, kinds="cpl"):
+    """Words changed, put in or left out, nowhere near each other or the ends."""
+    out, places = list(words), [(k + 1) * len(words) // (changes + 1) for k in range(changes)]
+    for at in reversed(places):
+        kind = rng.choice(kinds)
+        out[at : at + (kind != "p")] = [] if kind == "l" else [f"z{rng.randrange(10**6)}"]
+    return out
+
+
+def alike(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_substring_repeats_of_brute_force_similarity(spark):
+    """Pairs of passages in random context; those whose similarity, by brute force, is 0.8 or more must be found."""
+    rng = random.Random(20)
+    rows, pairs = [], []
+    for n, changes in ((50, 0), (54, 1), (56, 1), (60, 1), (75, 1), (120, 2), (240, 4)):
+        for _ in range(25):
+            w = prose(rng, n, 20000).split()
+            other = edited(rng, w, changes)
+            i = len(rows)
+            rows += [(i, f"{prose(rng, 40, 20000)} {' '.join(w)} {prose(rng, 30, 20000)}"), (i + 1, f"{prose(rng, 25, 20000)} {' '.join(other)} {prose(rng, 60, 20000)}")]
+            if min(len(w), len(other)) >= 50 and alike(w, other) >= 0.8:
+                pairs.append((i, n, changes))
+    _, spans = substring_dedup.repeats(table(spark, rows))
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in substring_dedup.merged(spans).collect()}
+    full = [got.get(i, [(0, 0)])[0] == (40, 40 + n) and i + 1 in got for i, n, _ in pairs]
+    assert len(pairs) > 150 and sum(full) >= 0.98 * len(pairs)
+    assert all(f for f, (_, _, changes) in zip(full, pairs, strict=True) if not changes)
+    edges = {i for i, _, _ in pairs} | {i + 1 for i, _, _ in pairs}
+    assert set(got) <= edges
+
+
+@pytest.mark.parametrize("common", [30, 44, 48])
+def test_substring_repeats_around_a_more_common_passage(spark, common):
+    """Texts share ``common`` words, too few; some pairs of them share 56 around those, from places of all kinds."""
+    rng = random.Random(21)
+    hub = prose(rng, common, 20000)
+    rows = [(i, f"{prose(rng, 60, 20000)} {hub} {prose(rng, 60, 20000)}") for i in range(40)]
+    pairs = []
+    for k in range(12):
+        left = k % (56 - common + 1)
+        before, after = prose(rng, left, 20000), prose(rng, 56 - common - left, 20000)
+        for j in (100 + 2 * k, 101 + 2 * k):
+            own = f"{prose(rng, 50, 20000)} {hub} {prose(rng, 9, 20000)} " if k % 3 == 0 else f"{prose(rng, 45, 20000)} "
+            rows.append((j, " ".join(f"{own}{before} {hub} {after} {prose(rng, 20, 20000)}".split())))
+            pairs.append(j)
+    _, spans = substring_dedup.repeats(table(spark, rows))
+    got = {r.doc_id: r.spans for r in substring_dedup.merged(spans).collect()}
+    assert set(got) == set(pairs)
+
+
+def test_substring_repeats_of_copies_empty_tables_and_long_texts(spark):
+    rng = random.Random(22)
+    long, copy = prose(rng, 200_000, 50_000), prose(rng, 80, 5000)
+    part = " ".join(long.split()[150_000:150_070])
+    rows = [(i, copy if i % 2 else f"{copy.upper()}\n") for i in range(50)] + [(100, long), (101, f"{part} {prose(rng, 9)}"), (102, "same " * 100_000), (103, "same " * 60), (7, copy), (7, copy), (200, prose(rng, 49)), (201, "")]
+    sizes, spans = substring_dedup.repeats(table(spark, rows))
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in substring_dedup.merged(spans).collect()}
+    assert got == {i: [(0, 80)] for i in range(50)} | {100: [(150_000, 150_070)], 101: [(0, 70)], 102: [(0, 60)], 103: [(0, 60)]} | {102: got[102]}
+    assert {r.doc_id: r.first for r in spans.where("doc_id < 50").collect()} == dict.fromkeys(range(50), 0)
+    assert sizes.count() == len(rows)
+    kept = substring_dedup.without_repeats(table(spark, rows)).where("doc_id < 50").collect()
+    assert sum(len(r.text) > 0 for r in kept) == 1 and all(r.mark == "y" for r in kept)
+    for n in (0, 1):
+        sizes, spans = substring_dedup.repeats(table(spark, rows[:n]))
+        assert sizes.count() == n and spans.count() == 0
+
+
 # --- 6
 
 
@@ -496,7 +599,3 @@ def test_score_reads_the_text_alone(spark):
     texts = ["Fine words here." if i % 2 else "$$$ ### !!!" for i in range(60)]
     a = quality.quality(table(spark, list(enumerate(texts))), labels)
     assert a.agg(F.countDistinct("score")).first()[0] == 2
-
-
-def test_digest():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
