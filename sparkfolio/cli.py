@@ -1,4 +1,4 @@
-"""Command line: ingest, resume, progress, search."""
+"""Command line: ingest, resume, progress, search, evaluate."""
 
 from __future__ import annotations
 
@@ -9,8 +9,9 @@ from pyspark.sql import SparkSession
 from .operators.discovery import Criteria
 from .operators.embed import WIDTH, HashingEmbedder
 from .operators.search import Request
-from .operators.state import STATE, progress
-from .operators.store import Snapshots
+from .operators.state import RUNS, STATE, progress
+from .operators.store import Points, Snapshots
+from .plans.evaluation import Evaluation, evaluate, save, summary
 from .plans.ingest import Ingest
 from .service import Service
 from .sources import readers
@@ -39,25 +40,40 @@ def parser() -> argparse.ArgumentParser:
     find.add_argument("--year-max", type=int)
     find.add_argument("--min-citations", type=int)
     find.add_argument("--sections", nargs="*")
+    test = sub.add_parser("evaluate")
+    test.add_argument("what", choices=["retrieval", "compare", "intrinsic", "all"])
+    test.add_argument("--output", help="JSON file; default: results below the store")
+    test.add_argument("--queries-per-paper", type=int, default=3)
+    test.add_argument("--top-k", type=int, default=10)
+    test.add_argument("--seed", type=int, default=42)
+    test.add_argument("--other", help="Parquet of the collection to compare with")
+    test.add_argument("--max-papers", type=int, default=50)
+    test.add_argument("--max-chunks", type=int, default=20)
     return out
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("sparkfolio").getOrCreate()
-    points, state = Snapshots(spark, f"{args.store}/points", POINTS), Snapshots(spark, f"{args.store}/state", STATE)
+    points, state = Points(spark, f"{args.store}/points", POINTS, args.width), Snapshots(spark, f"{args.store}/state", STATE)
     embedder = HashingEmbedder(args.width)
     if args.command == "ingest":
         works = readers.works(spark, args.works)
         files = readers.tei(spark, args.tei).withColumnRenamed("paper_id", "work_id")
-        job = Ingest(embedder, points, state)
+        job = Ingest(embedder, points, state, runs=Snapshots(spark, f"{args.store}/runs", RUNS))
         if args.resume:
             from .operators.discovery import discover
 
             job.resume(discover(works, Criteria()), files)
         else:
             job.run(works, files, Criteria(max_papers=args.max_papers))
-    if args.command == "search":
+    if args.command == "evaluate":
+        own = Evaluation(points.read(), embedder, args.queries_per_paper, args.top_k, args.seed)
+        other = spark.read.parquet(args.other) if args.other else None
+        found = evaluate(args.store, own, args.what, other, args.max_papers, args.max_chunks)
+        print(summary(found))
+        save(spark, found, args.output or f"{args.store}/results/eval_{found['run_at'].replace(':', '')}.json")
+    elif args.command == "search":
         Service(points, embedder).search(args.query, Request(args.limit, args.year_min, args.year_max, args.min_citations, args.sections)).show(args.limit, False)
     else:
         progress(state.read()).orderBy("stage").show(20, False)

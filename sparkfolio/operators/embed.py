@@ -6,13 +6,12 @@ from collections.abc import Callable
 from typing import Protocol
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import unit
-
 WIDTH, BATCH = 384, 256
 
 
@@ -39,17 +38,18 @@ class HashingEmbedder:
         self.width = width
 
     def embed(self, texts: DataFrame, text: str) -> DataFrame:
-        hashes = F.transform(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
-        zero = F.array_repeat(F.lit(0.0), self.width)
-        # one pass over the words for each of them, none for each dimension
-        counts = F.aggregate(hashes, F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<double>")), self._add)
-        dense = F.transform(zero, lambda _, i: F.coalesce(F.try_element_at(counts, i.cast("int")), F.lit(0.0)))
-        return texts.withColumn("embedding", F.transform(unit(dense), lambda x: x.cast("float")))
-
-    def _add(self, acc, h):
-        at, sign = F.pmod(h, F.lit(self.width)).cast("int"), F.when(F.pmod(F.shiftright(h, 40), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-        now = F.coalesce(F.try_element_at(acc, at), F.lit(0.0)) + sign
-        return F.map_concat(F.map_filter(acc, lambda k, _: k != at), F.create_map(at, now))
+        hashes = F.transform(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+        width = self.width
+
+        @F.pandas_udf("array<float>")
+        def counted(rows: pd.Series) -> pd.Series:
+            n, h = rows.str.len().to_numpy(), np.concatenate([np.empty(0, np.int64), *rows])
+            at = np.repeat(np.arange(len(n)), n) * width + h % width
+            dense = np.bincount(at, np.where((h >> 40) & 1, -1.0, 1.0), len(n) * width).reshape(-1, width)
+            norm = np.linalg.norm(dense, axis=1, keepdims=True)
+            return pd.Series(list((dense / np.where(norm == 0, 1.0, norm)).astype(np.float32)))
+
+        return texts.withColumn("embedding", counted(hashes))
 
 
 class ModelEmbedder:

@@ -74,6 +74,13 @@ def retrieval_metrics(ranks: DataFrame, k: int = 10) -> DataFrame:
     return ranks.groupBy("query_type").agg(*measures).unionByName(ranks.agg(F.lit("ALL").alias("query_type"), *measures))
 
 
+def not_compared(hits: DataFrame) -> DataFrame:
+    """As ``compare``, where the second collection cannot be asked: ``hits`` is (query_id, in_a); only the first one's recall is known."""
+    recall = F.bround(F.count_if("in_a") / F.greatest(F.count(F.lit(1)), F.lit(1)), 3)
+    unknown = [F.lit(None).cast("long").alias(c) for c in ("both", "a_only", "b_only", "neither")]
+    return hits.agg(recall.alias("recall_a")).select(*unknown, "recall_a", F.lit(None).cast("double").alias("recall_b"))
+
+
 def compare(hits: DataFrame) -> DataFrame:
     """Queries by which of two collections found their source: ``hits`` is (query_id, in_a, in_b)."""
     a, b = F.col("in_a"), F.col("in_b")
@@ -118,9 +125,10 @@ def cross_similarity(points: DataFrame, key: str, vector: str = "embedding") ->
     The expectation of sampling such pairs, in place of a sample.
     """
     s = _sums(points, key, vector).where("own > 0")
-    out = s.agg(Summarizer.sum(F.col("sum")).alias("all"), F.sum(_square("sum")).alias("same"), F.sum("own").alias("n"), F.sum(F.col("own") * F.col("own")).alias("nn"))
+    out = s.groupBy(F.lit(0).alias("one")).agg(Summarizer.sum(F.col("sum")).alias("all"), F.sum(_square("sum")).alias("same"), F.sum("own").alias("n"), F.sum(F.col("own") * F.col("own")).alias("nn"))
     pairs = F.nullif(F.col("n") * F.col("n") - F.col("nn"), F.lit(0))
-    return out.select(F.coalesce(F.try_divide(F.when(F.col("n") > 0, _square("all")) - F.col("same"), pairs), F.lit(0.0)).alias("sim"))
+    found = out.select("one", F.try_divide(_square("all") - F.col("same"), pairs).alias("sim"))
+    return points.sparkSession.range(1).select(F.lit(0).alias("one")).join(found, "one", "left").select(F.coalesce("sim", F.lit(0.0)).alias("sim"))
 
 
 def separation(intra: Column, inter: Column) -> Column:

@@ -151,10 +151,23 @@ def ranked_papers(queries: DataFrame, points: DataFrame, k: int, skip_own: bool
     return papers.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def paper_chunks(points: DataFrame, paper_id, cap: int = 1000) -> DataFrame:
-    """Chunks of a paper in reading order; of more than ``cap``, those of the smallest ids. Unknown papers have none."""
+def paper_scroll(points: DataFrame, paper_id, cap: int = 1000, vectors: bool = False, vector: str = "embedding") -> DataFrame:
+    """Chunks of a paper as stored: by id, at most ``cap``, with their vectors if asked for. Unknown papers have none."""
     some = points.where(F.col("paper_id") == paper_id).orderBy("point_id").limit(cap)
-    return some.orderBy(F.coalesce("section_order", F.lit(0)), F.coalesce("chunk_index", F.lit(0)))
+    return some if vectors else some.drop(vector)
+
+
+def paper_chunks(points: DataFrame, paper_id, cap: int = 1000) -> DataFrame:
+    """Chunks of a paper in reading order; of more than ``cap``, those of the smallest ids."""
+    return paper_scroll(points, paper_id, cap, vectors=True).orderBy(F.coalesce("section_order", F.lit(0)), F.coalesce("chunk_index", F.lit(0)))
+
+
+def sample_chunks(points: DataFrame, papers: int = 50, chunks: int = 20) -> DataFrame:
+    """The first ``chunks`` chunks, by id, of each of the first ``papers`` papers."""
+    some = points.select("paper_id").distinct().orderBy("paper_id").limit(papers)
+    order = Window.partitionBy("paper_id").orderBy("point_id")
+    own = points.join(F.broadcast(some), "paper_id")  # as many ids as asked for
+    return own.withColumn("place", F.row_number().over(order)).where(F.col("place") <= chunks).drop("place")
 
 
 def stats(points: DataFrame) -> DataFrame:
@@ -165,6 +178,21 @@ def paper_ids(points: DataFrame) -> DataFrame:
     return points.select("paper_id").distinct().orderBy("paper_id")
 
 
+def width(points: DataFrame, vector: str = "embedding") -> int:
+    """The length of a collection's vectors; -1 if it has none."""
+    one = points.where(F.col(vector).isNotNull()).select(F.size(vector).alias("n")).first()
+    return one["n"] if one else -1
+
+
+def width_note(found: int, wanted: int) -> str:
+    """What a collection's width means for a comparison; valid only where both are equal."""
+    if found == wanted:
+        return f"both collections have vectors of {wanted} components: comparison valid"
+    if found > 0:
+        return f"the other collection has vectors of {found} components, not {wanted}: comparison skipped"
+    return "the other collection's width is unknown: comparison skipped"
+
+
 def paper_of(payload_paper: Column, payload_work: Column) -> Column:
     """The id of a paper in a collection that names it either way, as a bare id; null if empty."""
     given = F.coalesce(F.nullif(payload_paper, F.lit("")), payload_work)

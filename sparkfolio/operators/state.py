@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions.text import progress_bar
 
 STAGES = ("discovered", "downloaded", "extracted", "chunked", "embedded")
 STATE = "work_id string, stage string, pdf_path string, num_sections int, num_chunks int, metadata string, error string, created_at timestamp, updated_at timestamp"
+RUNS = "id long, started_at timestamp, ended_at timestamp, papers_processed long, papers_failed long, config string"
 
 
 def insert_or_ignore(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -67,3 +70,33 @@ def progress(state: DataFrame) -> DataFrame:
 
 def work_left(state: DataFrame) -> DataFrame:
     return state.agg(F.count_if(F.col("stage").isin(*STAGES[:-1])).alias("pending"))
+
+
+def metadata(state: DataFrame, schema: str) -> DataFrame:
+    """(work_id and the fields of ``schema``) from the metadata that papers were registered with; null where it is no JSON."""
+    return state.select("work_id", F.from_json("metadata", schema).alias("m")).select("work_id", "m.*")
+
+
+def run_started(runs: DataFrame, config: dict | None = None) -> tuple[DataFrame, int]:
+    """The run log with a run more, and its id: one above the largest."""
+    number = (runs.agg(F.max("id")).first()[0] or 0) + 1
+    new = runs.sparkSession.range(1).select(F.lit(number).cast("long").alias("id"), F.current_timestamp().alias("started_at"), F.lit(json.dumps(config or {})).alias("config"))
+    return runs.unionByName(new, allowMissingColumns=True), number
+
+
+def run_ended(runs: DataFrame, number: int, papers_processed: int, papers_failed: int) -> DataFrame:
+    """The run log with the end of a run; an unknown run changes nothing."""
+    own = F.col("id") == number
+    now = {"ended_at": F.current_timestamp(), "papers_processed": F.lit(papers_processed).cast("long"), "papers_failed": F.lit(papers_failed).cast("long")}
+    return runs.select(*[F.when(own, now[c]).otherwise(F.col(c)).alias(c) if c in now else F.col(c) for c in runs.columns])
+
+
+def outcome(state: DataFrame, papers: DataFrame) -> DataFrame:
+    """One row (papers_processed, papers_failed): of ``papers`` (work_id), those that the state has at the last stage, and failed."""
+    own = state.join(papers.select("work_id").distinct(), "work_id", "left_semi")
+    return own.agg(F.count_if(F.col("stage") == STAGES[-1]).alias("papers_processed"), F.count_if(F.col("stage").startswith("failed_")).alias("papers_failed"))
+
+
+def chunk_counters(chunks: DataFrame, section: list[str]) -> DataFrame:
+    """One row (sections_chunked, total_chunks) of chunks whose sections are told apart by the columns ``section``."""
+    return chunks.groupBy(*section).agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("sections_chunked"), F.coalesce(F.sum("n"), F.lit(0)).alias("total_chunks"))

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import host, point_id, section_type, sentences, slug
 from ..operators.chunk import chunk
-from ..operators.discovery import Criteria, author_names, discover, first_location, located
-from ..operators.evaluate import compare, cross_similarity, length_stats, mean_similarity, rank_of_source, retrieval_metrics, sentence_queries, separation, separation_label
+from ..operators.discovery import Criteria, author_names, discover, estimate, first_location, located
+from ..operators.evaluate import benchmark_queries, compare, cross_similarity, length_stats, mean_similarity, rank_of_source, retrieval_metrics, sentence_queries, separation, separation_label
 from ..operators.extract import extract, keep_last
-from ..operators.search import best_per, paper_chunks, ranked_papers, stats, top_points
-from ..operators.state import after_resume, insert_or_ignore, pending, progress, unprocessed, work_left
-from ..operators.store import replace_papers, upsert
+from ..operators.search import Request, best_per, paper_chunks, paper_scroll, ranked_papers, results, sample_chunks, search, stats, top_points
+from ..operators.state import RUNS, STATE, after_resume, chunk_counters, insert_or_ignore, metadata, outcome, pending, progress, registered, run_ended, run_started, unprocessed, work_left
+from ..operators.store import payload, replace_papers, upsert
+from .evaluation import Evaluation, named
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -211,13 +212,18 @@ def point_ids_uuid5(spark, sf_dir):
     return d.select("doc_id", point_id(F.col("doc_id"), F.col("lang"), F.col("doc_id") % 3).alias("point_id"))
 
 
-@query(_CHUNKED + """SELECT c.paper_id, c.chunk_index, c.total_chunks, 'sentence_split' AS chunking_method, d.source AS journal, (2010 + d.doc_id % 15)::INT AS year, d.n_chars AS citation_count
-FROM chunks c JOIN documents d ON c.paper_id = d.doc_id """)
+_UUID5 = "h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab', (instr('0123456789abcdef', h[17:17]) - 1)::INT % 4 + 1, 1) || h[18:20] || '-' || h[21:32]"
+
+
+@query(_CHUNKED + f"""SELECT {_UUID5} AS point_id, paper_id, chunk_index, total_chunks, 'sentence_split' AS chunking_method, journal, year, citation_count, doi FROM (
+SELECT c.paper_id, c.chunk_index, c.total_chunks, d.source AS journal, (2010 + d.doc_id % 15)::INT AS year, CASE WHEN d.doc_id % 9 = 0 THEN 0 ELSE d.n_chars END AS citation_count, CASE WHEN d.doc_id % 3 = 2 THEN '' ELSE '10.1/' || d.doc_id END AS doi,
+sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(c.paper_id || ':' || c.lang || ':' || c.chunk_index)) AS h FROM chunks c JOIN documents d ON c.paper_id = d.doc_id)""")
 def denormalize_payload(spark, sf_dir):
-    d = _read(spark, sf_dir, "documents")
-    papers = d.select(F.col("doc_id").alias("paper_id"), F.col("source").alias("journal"), (2010 + F.col("doc_id") % 15).cast("int").alias("year"), F.col("n_chars").alias("citation_count"))
-    chunks = chunk(_spread(d.select(F.col("doc_id").alias("paper_id"), "text")), ["paper_id"], "text")
-    return chunks.join(papers, "paper_id").select("paper_id", "chunk_index", "total_chunks", F.lit("sentence_split").alias("chunking_method"), "journal", "year", "citation_count")
+    d, i = _read(spark, sf_dir, "documents"), F.col("doc_id")
+    papers = d.select(i.alias("work_id"), F.when(i % 3 != 2, F.concat(F.lit("10.1/"), i.cast("string"))).alias("doi"), F.lit("t").alias("title"), F.array(F.lit("a")).alias("authors"), (2010 + i % 15).cast("int").alias("year"), F.when(i % 9 != 0, F.col("n_chars")).alias("citation_count"), F.col("source").alias("journal"))
+    chunks = chunk(_spread(d.select(i.alias("paper_id"), F.col("lang").alias("section"), "text")), ["paper_id", "section"], "text")
+    chunks = chunks.withColumns({"section_type": F.col("section"), "section_order": F.lit(0), "embedding": F.array(F.lit(1.0))})
+    return payload(chunks, papers).select("point_id", "paper_id", "chunk_index", "total_chunks", "chunking_method", "journal", "year", "citation_count", "doi")
 
 
 def _top(where: str, limit: int) -> str:
@@ -386,3 +392,148 @@ def stale_chunk_replace(spark, sf_dir):
 def resume_transitions(spark, sf_dir):
     s = _staged(spark, sf_dir)
     return s.select("work_id", "stage", after_resume(F.col("stage"), F.col("work_id") % 5 != 0, F.col("work_id") % 7 != 0).alias("then"))
+
+
+# --- the same code as a user calls it, whole
+
+
+def _full_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("vec_id")
+    e = _read(spark, sf_dir, "embeddings")
+    return e.select(
+        i.alias("point_id"), (i / 10).cast("long").alias("paper_id"), "embedding", (2010 + i % 15).cast("int").alias("year"), (i % 40).cast("int").alias("citation_count"), F.col("label").cast("string").alias("section_type"),
+        F.when(i % 3 != 0, F.concat(F.lit("j"), (i % 4).cast("string"))).alias("journal"), F.repeat(F.lit("x"), (i % 50).cast("int")).alias("chunk_text"),
+    )
+
+
+@query(f"""SELECT paper_id, round(s, 6) AS score, section_type AS section_type, coalesce(journal, '') AS journal, year, citation_count FROM (
+SELECT paper_id, point_id, s, section_type, journal, year, citation_count FROM (
+SELECT a.paper_id, a.vec_id AS point_id, a.label::VARCHAR AS section_type, CASE WHEN a.vec_id % 3 <> 0 THEN 'j' || (a.vec_id % 4) END AS journal, (2010 + a.vec_id % 15)::INT AS year, (a.vec_id % 40)::INT AS citation_count, {_COS} AS s
+FROM {_VECS} a, {_VECS} b WHERE b.vec_id = 0 AND 2010 + a.vec_id % 15 BETWEEN 2012 AND 2020 AND a.vec_id % 40 >= 5 AND a.label IN (1, 2, 3) ORDER BY s DESC, point_id LIMIT 50)
+QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY s DESC, point_id) = 1) ORDER BY s DESC, point_id LIMIT 10""")
+def search_request(spark, sf_dir):
+    p = _full_points(spark, sf_dir)
+    found = results(search(p, _query_zero(p), Request(10, 2012, 2020, 5, ("1", "2", "3"))))
+    return found.select("paper_id", F.round("score", 6).alias("score"), "section_type", "journal", "year", "citation_count")
+
+
+_SLOTTED = "['abstract', 'methods', 'introduction', 'body_section', 'results', 'conclusion', 'discussion']"
+_QTYPES = "['abstract_sentence', 'method_phrase', 'method_phrase', 'method_phrase', 'result_phrase', 'result_phrase', 'result_phrase']"
+
+
+@query(rf"""WITH c AS (SELECT doc_id AS point_id, doc_id // 10 AS paper_id, (doc_id * 3 % 8 + 1)::INT AS slot, text, CASE WHEN doc_id // 10 % 5 = 0 THEN '' ELSE source END AS title FROM documents),
+titles AS (SELECT paper_id, 0::INT AS slot, 'title' AS query_type, title AS query_text FROM c QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY point_id) = 1),
+s AS (SELECT paper_id, point_id, slot, unnest({_SENTENCES}) AS s FROM c WHERE slot <= 7),
+own AS (SELECT paper_id, slot, {_QTYPES}[slot] AS query_type, s AS query_text FROM s WHERE length(s) BETWEEN 40 AND 200 AND NOT regexp_matches(s, '\[\d+\]') AND NOT regexp_matches(s, '[{{}}=]') AND NOT contains(s, 'http')
+QUALIFY row_number() OVER (PARTITION BY paper_id, slot ORDER BY point_id, sha1('42:' || paper_id || ':' || slot || ':' || s), s) = 1)
+SELECT * FROM (SELECT * FROM titles UNION ALL SELECT * FROM own) WHERE paper_id IN (SELECT paper_id FROM titles WHERE query_text <> '') QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY slot) <= 3""")
+def benchmark_queries_by_priority(spark, sf_dir):
+    i = F.col("doc_id")
+    types = F.array(*[F.lit(x) for x in ("abstract", "methods", "introduction", "body_section", "results", "conclusion", "discussion", "references")])
+    d = _spread(_read(spark, sf_dir, "documents"))
+    chunks = d.select(i.alias("point_id"), (i / 10).cast("long").alias("paper_id"), F.element_at(types, (i * 3 % 8 + 1).cast("int")).alias("section_type"), F.col("text").alias("chunk_text"), F.when((i / 10).cast("long") % 5 == 0, "").otherwise(F.col("source")).alias("title"))
+    return benchmark_queries(chunks, 3)
+
+
+@query("""SELECT 'W' || doc_id AS work_id, n_chars::INT AS citation_count FROM documents WHERE lang = 'en' AND 2010 + doc_id % 15 >= 2015 AND n_chars >= 10 AND doc_id % 11 <> 10 AND (doc_id % 2 = 0 OR doc_id % 5 <> 0) ORDER BY n_chars DESC, work_id LIMIT 50""")
+def discover_max_papers(spark, sf_dir):
+    return discover(_works(spark, sf_dir), Criteria(max_papers=50)).select("work_id", "citation_count")
+
+
+@query("""SELECT count(*) AS papers FROM documents WHERE lang = 'en' AND 2010 + doc_id % 15 >= 2015 AND n_chars >= 10 AND (doc_id % 4 <> 3 OR doc_id % 2 = 0 OR doc_id % 5 <> 0)""")
+def discover_estimate(spark, sf_dir):
+    return spark.createDataFrame([(estimate(_works(spark, sf_dir)),)], "papers long")
+
+
+@query("""SELECT doc_id::VARCHAR AS paper_id, '2_results' AS section_key, 'results' AS section_type, 0::INT AS section_order, source || '  ' || lang || ' , tail  Nested ' || lang AS content FROM documents
+UNION ALL SELECT doc_id::VARCHAR, 'section_1', 'body_section', 1::INT, lang FROM documents
+UNION ALL SELECT doc_id::VARCHAR, 'references', 'references', 2::INT, lang || chr(10) || source FROM documents""")
+def tei_nested(spark, sf_dir):
+    """Sections of elements within elements, 2,000 of them in one."""
+    d = _spread(_read(spark, sf_dir, "documents")).select("doc_id", *[F.regexp_replace(c, "[^A-Za-z0-9 ._-]", "").alias(c) for c in ("source", "lang")])
+    deep, up = F.repeat(F.lit("<hi>"), 2000), F.repeat(F.lit("</hi>"), 2000)
+    tei = F.concat(
+        F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body>own<div>lead<head n="2">Results</head><p>'), F.col("source"), F.lit(" <ref>"), F.col("lang"), F.lit("</ref>, tail<lb/></p>after<div><head>Nested</head><p>"), deep, F.col("lang"), up,
+        F.lit("</p></div></div><p>no division</p><div><p>"), F.col("lang"), F.lit("</p></div></body><back><div><listBibl><biblStruct><analytic><title>"), F.col("lang"), F.lit("</title></analytic><monogr><title>other</title></monogr></biblStruct><biblStruct><title>"), F.col("source"), F.lit("</title></biblStruct></listBibl></div></back></text></TEI>"),
+    )
+    return extract(d.select(F.col("doc_id").alias("paper_id"), tei.alias("tei"))).select("paper_id", "section_key", "section_type", "section_order", "content")
+
+
+@query("SELECT vec_id // 10 AS paper_id, vec_id AS point_id FROM embeddings WHERE vec_id // 10 IN (SELECT DISTINCT vec_id // 10 AS p FROM embeddings ORDER BY p LIMIT 20) QUALIFY row_number() OVER (PARTITION BY vec_id // 10 ORDER BY vec_id) <= 4")
+def sample_of_chunks(spark, sf_dir):
+    return sample_chunks(_points(spark, sf_dir), 20, 4).select("paper_id", "point_id")
+
+
+_SAMPLE = "(SELECT * FROM {v} WHERE paper_id IN (SELECT DISTINCT vec_id // 10 AS p FROM embeddings ORDER BY p LIMIT 30) QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY vec_id) <= 8)".format(v=_VECS)
+
+
+@query(f"""WITH s AS {_SAMPLE}, l AS (SELECT vec_id % 50 AS n FROM s),
+m AS (SELECT round_even((SELECT avg(x) FROM (SELECT avg({_COS}) AS x FROM s a, s b WHERE a.vec_id < b.vec_id AND a.paper_id = b.paper_id GROUP BY a.paper_id)), 3) AS intra, round_even((SELECT avg({_COS}) FROM s a, s b WHERE a.vec_id < b.vec_id AND a.paper_id <> b.paper_id), 3) AS inter)
+SELECT (SELECT count(DISTINCT paper_id) FROM s) AS total_papers, (SELECT count(*) FROM s) AS total_chunks, round_even((SELECT avg(n) FROM l), 1) AS avg_len, round_even((SELECT quantile_cont(n, 0.5) FROM l), 1) AS median_len, round_even((SELECT quantile_cont(n, 0.05) FROM l), 1) AS p5_len,
+round_even((SELECT quantile_cont(n, 0.95) FROM l), 1) AS p95_len, intra AS intra_similarity, inter AS inter_similarity, CASE WHEN inter > 0 THEN round_even(intra / inter, 3) ELSE 'inf'::DOUBLE END AS separation_ratio FROM m""")
+def intrinsic_report(spark, sf_dir):
+    return Evaluation(_full_points(spark, sf_dir)).intrinsic(30, 8)[0].drop("label")
+
+
+@query(f"""WITH s AS {_SAMPLE}, near AS (SELECT a.label, avg({_COS}) AS x FROM s a, s b WHERE a.vec_id < b.vec_id AND a.label = b.label GROUP BY 1)
+SELECT label::VARCHAR AS section_type, round_even(avg(vec_id % 50), 1) AS avg_len, round_even(any_value(x), 3) AS similarity FROM s LEFT JOIN near USING (label) GROUP BY label""")
+def intrinsic_by_section(spark, sf_dir):
+    return Evaluation(_full_points(spark, sf_dir)).intrinsic(30, 8)[1]
+
+
+def _own_queries(points: DataFrame) -> DataFrame:
+    return _sourced(points).join(_queries(points), "query_id")
+
+
+@query("WITH " + _RANKED.replace("%s", "") + """, r AS (SELECT EXISTS (SELECT 1 FROM ranked x WHERE x.query_id = q.vec_id AND x.paper_id = q.vec_id // 10) AS a FROM embeddings q WHERE q.vec_id % 25 = 0)
+SELECT NULL::BIGINT AS both, NULL::BIGINT AS a_only, NULL::BIGINT AS b_only, NULL::BIGINT AS neither, round_even(count(*) FILTER (a) / greatest(count(*), 1), 3) AS recall_a, NULL::DOUBLE AS recall_b FROM r""")
+def compare_other_width(spark, sf_dir):
+    """The other collection has vectors of another width: only the first one's recall is known."""
+    p = _full_points(spark, sf_dir)
+    return Evaluation(p).comparison(_own_queries(p), p.withColumn("embedding", F.slice("embedding", 1, 8)))[0]
+
+
+@query("""SELECT vec_id AS point_id, (CASE WHEN vec_id % 4 = 0 THEN vec_id // 10 ELSE vec_id // 5 END)::VARCHAR AS paper_id FROM embeddings WHERE vec_id % 4 <> 3""")
+def abstract_paper_ids(spark, sf_dir):
+    i = F.col("vec_id")
+    e = _read(spark, sf_dir, "embeddings")
+    given = F.when(i % 4 == 0, F.concat(F.lit("https://x.org/"), (i / 10).cast("long").cast("string"))).when(i % 4 == 1, "")
+    work = F.when(i % 4 == 3, "https://x.org/").otherwise((i / 5).cast("long").cast("string"))
+    return named(e.select(i.alias("point_id"), given.alias("paper_id"), work.alias("work_id"), "embedding")).select("point_id", "paper_id")
+
+
+@query(f"""SELECT 1::BIGINT AS id, count(*) FILTER (stage = 'embedded') AS papers_processed, count(*) FILTER (stage LIKE 'failed%') AS papers_failed, '{{"max_papers": 5}}' AS config FROM {_STAGED}
+UNION ALL SELECT 2::BIGINT, NULL::BIGINT, NULL::BIGINT, '{{}}'""")
+def run_log(spark, sf_dir):
+    s = _staged(spark, sf_dir)
+    runs, first = run_started(spark.createDataFrame([], RUNS), {"max_papers": 5})
+    done = outcome(s, s.select("work_id")).first()
+    runs, _ = run_started(run_ended(runs, first, done["papers_processed"], done["papers_failed"]))
+    return runs.select("id", "papers_processed", "papers_failed", "config")
+
+
+@query(_CHUNKED + "SELECT count(DISTINCT paper_id) AS sections_chunked, count(*) AS total_chunks FROM chunks")
+def run_counters(spark, sf_dir):
+    d = _spread(_read(spark, sf_dir, "documents").select(F.col("doc_id").alias("paper_id"), "text"))
+    return chunk_counters(chunk(d, ["paper_id"], "text"), ["paper_id"])
+
+
+@query("SELECT turn AS point_id, text AS chunk_text FROM conversations WHERE conv_id = 7 ORDER BY turn LIMIT 3")
+def paper_scroll_capped(spark, sf_dir):
+    c = _read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("paper_id"), F.col("turn").alias("point_id"), F.col("text").alias("chunk_text"))
+    return paper_scroll(c, 7, 3).select("point_id", "chunk_text")
+
+
+@query("SELECT doc_id::VARCHAR AS work_id, source AS title, (2010 + doc_id % 15)::INT AS year FROM documents")
+def state_metadata(spark, sf_dir):
+    i = F.col("doc_id")
+    papers = _read(spark, sf_dir, "documents").select(i.cast("string").alias("work_id"), F.col("source").alias("title"), (2010 + i % 15).cast("int").alias("year"))
+    return metadata(registered(spark.createDataFrame([], STATE), papers), "title string, year int")
+
+
+@query("SELECT vec_id AS point_id, (CASE WHEN vec_id % 3 = 0 THEN 2 WHEN vec_id >= 250 THEN 1 ELSE 0 END)::INT AS version FROM embeddings WHERE vec_id < 300 OR vec_id >= 250 OR vec_id % 3 = 0")
+def upsert_last_wins(spark, sf_dir):
+    """Keys repeated within the new rows: the last counts."""
+    p = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("point_id"))
+    new = p.where("point_id >= 250").withColumn("version", F.lit(1)).unionByName(p.where("point_id % 3 = 0").withColumn("version", F.lit(2)))
+    return upsert(p.where("point_id < 300").withColumn("version", F.lit(0)), new, order="version")

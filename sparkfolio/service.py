@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 
 from .operators.embed import Embedder
 from .operators.search import Request, paper_chunks, results, search, stats
-from .operators.store import Snapshots
+from .operators.store import Points
 
 
 class Service:
-    def __init__(self, points: Snapshots, embedder: Embedder):
+    def __init__(self, points: Points, embedder: Embedder):
         self.points, self.embedder = points, embedder
 
     def query_vector(self, text: str) -> list[float]:

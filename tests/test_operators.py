@@ -29,6 +29,8 @@ def test_extract(spark):
     assert [(r.section_key, r.content, r.section_order) for r in got if r.paper_id == "cjk"] == [("", "b", 1)]
     assert {r.paper_id for r in got} == {"p", "cjk"}
     assert extract.extract(rows, last_wins=False).where("paper_id = 'cjk'").count() == 2
+    deep = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><div>' + "<p>" * 50_000 + "x" + "</p>" * 50_000 + "</div></body></text></TEI>"
+    assert extract.parts(deep) == [("body", "Section 0", "x")]
 
 
 def works(spark, rows):
@@ -144,6 +146,9 @@ def test_upserts(spark):
     assert sorted(map(tuple, store.upsert(once, new).collect())) == sorted(map(tuple, once.collect()))
     assert sorted(map(tuple, store.replace_papers(old, new).collect())) == [(1, "a", 1), (3, "b", 0)]
     assert store.without_paper(old, "a").count() == 1
+    twice = spark.createDataFrame([(1, "a", 5), (1, "a", 7), (1, "a", 6)], "point_id int, paper_id string, v int")
+    assert sorted(map(tuple, store.upsert(old, twice, order="v").collect())) == [(1, "a", 7), (2, "a", 0), (3, "b", 0)]
+    assert store.upsert(old, twice).count() == 3
 
 
 def test_download(spark):
