@@ -56,3 +56,15 @@ def only(column: str, bits):
                 yield batch.filter(pa.array(keep))
 
     return run
+
+
+def never(column: str, bits):
+    """For mapInArrow: the other rows, whose ``column`` is surely not among the keys."""
+
+    def run(batches):
+        for batch in batches:
+            keep = ~maybe(bits.value, batch.column(column).to_numpy(zero_copy_only=False))
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    return run

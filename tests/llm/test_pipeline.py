@@ -56,3 +56,19 @@ def test_source_mix_takes_equal_rows_as_planned_and_places_repeats(spark):
     assert 31 < got.count(1) < 62
     a = [k for k, i in enumerate(got) if i >= 100]
     assert len(a) == 20 and sorted(got[k] for k in a[:10]) == sorted(got[k] for k in a[10:]) and a[-1] > 0.9 * len(got)
+
+
+def test_decontamination_drops_every_text_with_a_window(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    long = [f"w{i}" for i in range(5000)]
+    rows = [(1, " ".join([*long[:2500], item, *long[2500:]])), (2, " ".join(long)), (3, None), (4, ""), (2, " ".join(long)), (None, item.upper())]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, n_hit string")
+    got = corpus_pipeline.decontamination(spark, docs, SF)
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [2, 2, 3, 4]
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), name)
+        assert docs.count() == 0
