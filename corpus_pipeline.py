@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkfolio.llm.decontamination import contaminated, contamination
+from sparkfolio.llm.bloom import bloom, never, only
+from sparkfolio.llm.decontamination import contamination
 from sparkfolio.llm.mixing import copied, mixed, places, row_mark
 from sparkfolio.llm.ngram_join import jaccard_join
 from sparkfolio.llm.quality import accepted
@@ -14,35 +15,53 @@ from sparkfolio.llm.shared import fresh, table, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality ranking does not reject."""
+    """The documents that the quality ranking does not reject.
+
+    Null texts are ranked as empty ones; repeated rows are ranked alike, so all stay or go; without any label all stay.
+    """
     return accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8, the one of the smallest doc_id (null: the last); of repeated rows, one.
 
-    Each row is joined under a number of its own, in the order of doc_id: neither a null nor an equal doc_id hides a copy.
+    A row is known by a hash of its doc_id and text: neither a null nor an equal doc_id hides a copy. Blank and null
+    texts link with nothing. Rows that surely stay move nowhere; only those that may go are joined. An empty table
+    stays empty; extra columns stay as they are.
     """
-    row, other = fresh(docs, "row", "other")
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
-    numbered = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id())
-    numbered = written(numbered, "numbered")
-    found = jaccard_join(numbered.select(F.col(row).alias("doc_id"), "text"), n=5, percent=80)
-    bare = numbered.where(F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True)))  # they link with nothing
-    firsts = bare.groupBy("doc_id", "text").agg(F.min(row).alias(other)).select(other)
-    again = bare.select(row).join(firsts, F.col(row) == F.col(other), "left_anti")
-    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias(other)).unionByName(again.select(F.col(row).alias(other)))
-    return numbered.join(gone, F.col(row) == F.col(other), "left_anti").select(*docs.columns)
+    mark, least, kind = fresh(docs, "mark", "least", "kind")
+    text = F.col("text").cast("string")
+    marked = docs.withColumn(mark, F.xxhash64(F.col("doc_id").isNull(), "doc_id", text.isNull(), text, F.lit(7)))
+    found = jaccard_join(marked.select(F.col(mark).alias("doc_id"), text.alias("text")), n=5, percent=80)
+    groups = found.groupBy(F.col("doc_id").alias(mark)).agg(F.min("component_id").alias("comp"), F.count(F.lit(1)).alias("n"))
+    ids = marked.groupBy(mark).agg(F.min("doc_id").alias("id"))
+    groups = written(groups.join(ids, mark), "groups")
+    best = groups.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", mark))[mark].alias(least), F.count(F.lit(1)).alias("size"))
+    gone = groups.join(best.where("size > 1").select("comp", least), "comp").where(F.col(mark) != F.col(least))
+    again = groups.where("n > 1").join(gone.select(mark), mark, "left_anti")
+    touched = written(gone.select(F.col(mark).alias(least), F.lit(0).alias(kind)).unionByName(again.select(F.col(mark).alias(least), F.lit(1).alias(kind))), "touched")
+    bits = bloom(touched)
+    stays = marked.mapInArrow(never(mark, bits), marked.schema).select(*docs.columns)
+    asked = marked.mapInArrow(only(mark, bits), marked.schema).join(touched, F.col(mark) == F.col(least), "left")
+    once = asked.where(F.col(kind) == 1).dropDuplicates([mark, "doc_id", "text"])
+    return stays.unionByName(asked.where(F.col(kind).isNull()).select(*docs.columns)).unionByName(once.select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not contaminated by benchmark items."""
-    found, (n_words, n_hit, _) = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~contaminated(F.col(n_words), F.col(n_hit))).select(*docs.columns)
+    """The documents in which no window of a benchmark item occurs, however long they are.
+
+    Null and empty texts hold no window and stay; repeated rows are held each; an empty benchmark keeps all rows.
+    """
+    found, (_, n_hit, _) = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.col(n_hit) == 0).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, each copy at its own place in the order of the curriculum."""
+    """Each document as many times as the mix takes it, each copy at its own place in the order of the curriculum.
+
+    Null and empty texts have no words and are not taken; equal rows are taken each by its own place in their source;
+    null is a source of its own; an empty table gives none.
+    """
     facts = ("size", "source_size", "target", "slope")
     plan = mixed(docs).groupBy("mark").agg(F.max("copies").alias("copies"), F.min("middle").alias("middle"), *[F.min(c).alias(c) for c in facts])
     plan = written(plan.where("copies > 0").select("mark", F.struct("middle", *facts).alias("plan")), "mix")
@@ -56,7 +75,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard of the committed version."""
+    """Every row with its shard of the committed version; nulls, repeated rows and extra columns are stored as they are."""
     return shard_report(sharded(docs))
 
 
