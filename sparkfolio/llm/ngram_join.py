@@ -185,7 +185,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     classes = written(whole.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node")).where("node is not null"), "classes")
     entries = signed.where("n > 0").select("h1", F.explode("keys").alias("key"))
     shared = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "shared")
-    some = entries.mapInArrow(only("key", bloom(shared)), "h1 long, key long").join(shared, "key", "left_semi").distinct()
+    # Copies are one row before the join by key, so that this join's large partitions can be split.
+    some = entries.mapInArrow(only("key", bloom(shared)), "h1 long, key long").distinct().join(shared, "key", "left_semi")
     members = written(some.join(classes.select("h1", "n", "node"), "h1").select("key", "node", "n"), "members")
 
     # Each member against the one whose entries are shared most.
