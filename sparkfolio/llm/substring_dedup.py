@@ -235,24 +235,29 @@ def aligned(a: np.ndarray, b: np.ndarray, at: int, to: int, least: int, similari
     return *run, False
 
 
-def _parting(a: np.ndarray, mine: tuple[int, int], shift: int, b: int) -> list[tuple[int, int]]:
-    """(key, place) of the tokens at which a text leaves another, ``b``: just beyond their equal run, and beyond one changed word.
+def _hashed(*facts: int) -> int:
+    """A signed 64-bit hash of integers."""
+    x = 0
+    for f in facts:
+        x = (x ^ f & 0xFFFFFFFFFFFFFFFF) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+        x = (x ^ x >> 29) * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
+        x ^= x >> 32
+    return x - (x >> 63 << 64)
 
-    The key holds the place in ``b`` and the token that this text has there; others that leave ``b`` alike share it.
-    """
-    out = []
-    for side, pos in enumerate((mine[0] - 1, mine[0] - 1 - SHINGLE, mine[1], mine[1] + SHINGLE)):
-        if 0 <= pos < len(a):
-            facts = np.array([b & 0xFFFFFFFFFFFFFFFF, (pos - shift) & 0xFFFFFFFFFFFFFFFF, side // 2], dtype=np.uint64)
-            key = mix(mix(mix(mix(facts[:1]) ^ facts[1:2]) + facts[2:]) ^ a[pos : pos + 1])
-            out.append((int(key.view(np.int64)[0]), pos))
-    return out
+
+def _partings(length: int, run: tuple[int, int], sides: tuple[bool, bool]) -> list[tuple[int, int]]:
+    """(side, place) of the tokens at which a text leaves another: just beyond their equal run, and beyond one changed word."""
+    out = [(side, pos) for side, pos in ((0, run[0] - 1), (0, run[0] - 1 - SHINGLE), (1, run[1]), (1, run[1] + SHINGLE))]
+    return [(side, pos) for side, pos in out if sides[side] and 0 <= pos < length]
 
 
-def _verified(least: int, similarity: float):
+def _verified(least: int, similarity: float, first: bool):
     """For pairs of texts and their common places: the stretches that they share, both texts' sides of them, and where the first leaves the second.
 
-    Rows are (kind, doc_id, x, y, other): kind 0, a stretch from x to y that other has too; kind 1, key x and place y of a parting.
+    Rows are (kind, doc_id, x, y, other): kind 0, a stretch from x to y that other has too; kind 1, key x and place y of a
+    parting. In the ``first`` round the key is where the second text is left and by which token, and the place is that
+    token's: what leads there does not matter. Later it is made of the key that led there, how far on the texts part and by which token,
+    and the place stays: members of such a key share ever longer runs around it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,30 +276,34 @@ def _verified(least: int, similarity: float):
                 right = tokens(b, batch.column("tb"), i)
                 left = right if a == b else shingles(words(batch.column("ta").slice(i, 1))[0], SHINGLE)
                 spots = batch.column("places")[i].values
-                at, to = (spots.field(c).to_numpy(zero_copy_only=False) for c in ("ca", "cb"))
+                at, to, keys = (spots.field(c).to_numpy(zero_copy_only=False) for c in ("ca", "cb", "key"))
                 held = (at < len(left)) & (to < len(right))  # rows may share a doc_id
-                at, to = at[held], to[held]
-                order = np.lexsort((at, at - to))
-                at, shift = at[order], (at - to)[order]
+                order = np.lexsort((at[held], (at - to)[held]))
+                at, shift, keys = at[held][order], (at - to)[held][order], keys[held][order]
                 covered = np.zeros(len(left), dtype=bool)
                 cut = np.flatnonzero(np.diff(shift, prepend=shift[:1] - 1))
                 groups = zip(cut.tolist(), [*cut[1:].tolist(), len(at)], strict=True)
                 for x, y in sorted(groups, key=lambda g: g[0] - g[1]):  # the shift that most places ask for first
-                    move, todo = int(shift[x]), at[x:y]
-                    while len(todo := todo[~covered[todo]] if a != b else todo):
-                        here = int(todo[0])
-                        if a == b:  # other places in the representative: they only part from its first
-                            low, high = max(0, here - 2 * least), here + 2 * least
-                            n, m = _equal(left[low:here][::-1], right[max(0, here - move - 2 * least) : here - move][::-1]), _equal(left[here:high], right[here - move : high - move])
-                            mine, good = (here - n, here + m), False
+                    move, todo = int(shift[x]), np.arange(x, y)
+                    while len(todo := todo[~covered[at[todo]]] if a != b else todo):
+                        here = int(at[todo[0]])
+                        good, sides = False, (True, True)
+                        if a == b:  # other places in the representative: they only part from its first, if they do so where it matters
+                            there, far = here - move, 2 * least
+                            n = _equal(left[max(0, here - far) : here][::-1], right[max(0, there - far) : there][::-1])
+                            m = _equal(left[here : here + far], right[there : there + far])
+                            mine, sides = (here - n, here + m), (n < far, m < far)
                         else:
                             mine, yours, good = aligned(left, right, here, here - move, least, similarity)
                         if good:
                             covered[slice(*mine)] = True
                             out += [(0, a, mine[0], mine[1] + SHINGLE - 1, b), (0, b, yours[0], yours[1] + SHINGLE - 1, a)]
+                        elif first:
+                            out += [(1, a, _hashed(b, pos - move, side, int(left[pos])), pos, b) for side, pos in _partings(len(left), mine, sides)]
                         else:
-                            out += [(1, a, key, pos, b) for key, pos in _parting(left, mine, move, b)]
-                        todo = todo[todo >= mine[1]]
+                            inside = todo[at[todo] < max(mine[1], here + 1)]
+                            out += [(1, a, _hashed(int(keys[k]), pos - int(at[k]), side, int(left[pos])), int(at[k]), b) for side, pos in _partings(len(left), mine, sides) for k in inside]
+                        todo = todo[at[todo] >= max(mine[1], here + 1)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), *[pa.int64()] * 4), strict=True)], names=["kind", "doc_id", "x", "y", "other"])
 
@@ -332,8 +341,9 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float =
     while True:
         ends = members.groupBy("key").agg(F.min(F.struct("doc_id", "c")).alias("rep"), F.max("doc_id").alias("hi")).where("rep.doc_id <> hi")
         ends = written(ends.select("key", F.col("rep.doc_id").alias("b"), F.col("rep.c").alias("cb")), "representatives")
-        met = members.join(ends, "key").where("doc_id <> b or c <> cb").select(F.col("doc_id").alias("a"), "b", F.col("c").alias("ca"), "cb").distinct()
-        pairs = written(met.groupBy("a", "b").agg(F.collect_list(F.struct("ca", "cb")).alias("places")), "pairs")  # at most the places of a text
+        by = F.lit(0).cast("long") if not found else F.col("key")  # in the first round, places that several keys lead to are one
+        met = members.join(ends, "key").where("doc_id <> b or c <> cb").select(F.col("doc_id").alias("a"), "b", F.col("c").alias("ca"), "cb", by.alias("key")).distinct()
+        pairs = written(met.groupBy("a", "b").agg(F.collect_list(F.struct("ca", "cb", "key")).alias("places")), "pairs")  # at most the places of a text
         forget(members, ends)
         if pairs.isEmpty():
             forget(pairs)
@@ -341,7 +351,7 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float =
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         needed = own.mapInArrow(only("doc_id", bloom(ids)), base.schema)
         both = pairs.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        found.append(written(both.select("a", "b", "places", "ta", "tb").mapInArrow(_verified(least, similarity), "kind int, doc_id long, x long, y long, other long"), "found"))
+        found.append(written(both.select("a", "b", "places", "ta", "tb").mapInArrow(_verified(least, similarity, not found), "kind int, doc_id long, x long, y long, other long"), "found"))
         members = written(found[-1].where("kind = 1").select(F.col("x").alias("key"), "doc_id", F.col("y").alias("c")).distinct(), "places")
         forget(pairs)
     none = docs.sparkSession.createDataFrame([], "kind int, doc_id long, x long, y long, other long")
