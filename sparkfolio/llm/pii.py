@@ -12,10 +12,10 @@ patterns, in time linear in the text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, table, written
+from .shared import forget, fresh, table, written
 
 KINDS = ("email", "ip", "card", "phone")
 PATTERN = {
@@ -48,20 +48,38 @@ def _valid(kind: str, match: Column) -> Column:
     return F.length(digits).between(10, 15)
 
 
-def _matches(text: Column, kind: str) -> Column:
-    """Array of (start, end, match), in order; positions are code points."""
-    found, between = F.regexp_extract_all(text, F.lit(PATTERN[kind]), F.lit(0)), F.split(text, PATTERN[kind], -1)
-    pairs = F.arrays_zip(found.alias("m"), F.slice(between, 1, F.size(found)).alias("g"))
-    init = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string>>").alias("out"))
+def _running(lengths: Column, level: int = 0) -> Column:
+    """The running sums of an array, by doubling: each level adds what stands 2**level before, and there are as many levels as the length asks for."""
+    if level == 31:
+        return lengths
+    step = 1 << level
+
+    def wider(a: Column) -> Column:
+        return _running(F.transform(a, lambda x, i: x + F.when(i >= step, F.get(a, i - step)).otherwise(0)), level + 1)
+
+    return F.when(F.size(lengths) > step, _with(lengths, wider)).otherwise(lengths)
+
+
+def _with(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _cut(text: Column, pattern: str) -> Column:
+    """Array of (start, end, match) of a pattern's matches, in order, in code points; time in proportion to n log n."""
+    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+
+    def ended(x: Column) -> Column:
+        ends = _running(F.transform(x, lambda p: F.length(p["g"]) + F.length(p["m"])))
+        return F.transform(F.arrays_zip(ends.alias("end"), x.alias("x")), lambda p: F.struct((p["end"] - F.length(p["x"]["m"])).alias("start"), p["end"].alias("end"), p["x"]["m"].alias("match")))
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["g"])
-        end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("match")))).alias("out"))
+    return _with(found, lambda m: _with(F.arrays_zip(m.alias("m"), F.slice(between, 1, F.size(m)).alias("g")), ended))
 
-    spans = F.aggregate(pairs, init, step, lambda acc: acc["out"])
+
+def _matches(text: Column, kind: str) -> Column:
+    """Array of (start, end, match) of the kind, in order."""
     empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    return F.when(text.rlike(HINT[kind]), F.filter(spans, lambda s: _valid(kind, s["match"]))).otherwise(empty)
+    return F.when(text.rlike(HINT[kind]), F.filter(_cut(text, PATTERN[kind]), lambda s: _valid(kind, s["match"]))).otherwise(empty)
 
 
 def base_spans(text: Column) -> Column:
@@ -83,27 +101,21 @@ def _assured(hits: Column, of: Column) -> Column:
     return (share + Z * Z / (2 * of) - Z * F.sqrt(share * (1 - share) / of + Z * Z / (4 * of * of))) / (1 + Z * Z / of)
 
 
-def disclosing_terms(held: DataFrame, docs: DataFrame, part: float = 0.8) -> DataFrame:
+def disclosing_terms(held: DataFrame, words: DataFrame, docs: DataFrame, part: float = 0.8) -> DataFrame:
     """(t, term): terms that tell at least ``part`` of the information of an entity of the text of hash t.
 
-    ``held``: (text, kind, value), one row for each entity of a document; ``docs``: (text), every document. All counts
-    are of distinct texts, so that copies of one text are no evidence, and are exact. What a term tells is taken at
-    the lower end of the confidence interval of p(e | t), at any number of texts: the fewer, the less it tells.
-    Entities that stand in the same texts have the same terms and are taken together.
+    ``held``: (t, kind, value), the entities of texts; ``words``: (t, term), the terms of those texts; ``docs``: (t, text),
+    every document. All counts are of distinct texts, so that copies of one text are no evidence, and are exact. What a term
+    tells is taken at the lower end of the confidence interval of p(e | t), at any number of texts: the fewer, the less it
+    tells. Entities that stand in the same texts have the same terms and are taken together.
     """
-    texts = docs.select(F.xxhash64("text").alias("t"), "text").where("text <> ''").dropDuplicates(["t"])
-
-    def terms(text: Column) -> Column:
-        return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
-
-    counts = written(texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "terms")
-    total = docs.select(F.xxhash64("text").alias("t")).where("text <> ''").distinct().count()
-    own = held.select(F.xxhash64("text").alias("t"), "kind", "value").distinct()
-    entities = own.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_e"), F.bit_xor("t").alias("x"), F.bit_xor(F.xxhash64("t", F.lit(1))).alias("y"))
+    texts = docs.where("text <> ''").dropDuplicates(["t"])
+    counts = written(texts.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "terms")
+    total = docs.where("text <> ''").select("t").distinct().count()
+    entities = held.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_e"), F.bit_xor("t").alias("x"), F.bit_xor(F.xxhash64("t", F.lit(1))).alias("y"))
     entities = entities.where(F.col("n_e") < total)  # what stands everywhere has no information
-    classes = written(own.join(entities, ["kind", "value"]).select("t", "n_e", F.xxhash64("n_e", "x", "y").alias("class")).distinct(), "entities")
-    words = held.select(F.xxhash64("text").alias("t"), "text").dropDuplicates(["t"]).select("t", F.explode(terms(F.col("text"))).alias("term"))
-    met = written(classes.join(words, "t").select("class", "n_e", "t", "term"), "met")
+    classes = written(held.join(entities, ["kind", "value"]).select("t", "n_e", F.xxhash64("n_e", "x", "y").alias("class")).distinct(), "entities")
+    met = written(classes.join(words.distinct(), "t").select("class", "n_e", "t", "term"), "met")
     pairs = written(met.groupBy("class", "n_e", "term").agg(F.count(F.lit(1)).alias("n_te")), "pairs")
 
     # A term's count comes to each of its pairs; the counts of terms in many texts, few, are broadcast.
@@ -114,7 +126,13 @@ def disclosing_terms(held: DataFrame, docs: DataFrame, part: float = 0.8) -> Dat
     info = F.log2(F.lit(float(total)) / F.col("n_e"))
     told = F.log2(_assured(F.col("n_te"), F.col("n_t")) * float(total) / F.col("n_e"))
     telling = written(known.where(told >= part * info).select("class", "term"), "telling")
-    return met.join(telling, ["class", "term"], "left_semi").select("t", "term").distinct()
+    out = written(met.join(telling, ["class", "term"], "left_semi").select("t", "term").distinct(), "disclosing")
+    forget(counts, classes, met, pairs, telling)
+    return out
+
+
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
 def personal_data(docs: DataFrame, part: float = 0.8) -> DataFrame:
@@ -123,29 +141,30 @@ def personal_data(docs: DataFrame, part: float = 0.8) -> DataFrame:
     base: the e-mail addresses, IPv4 addresses, card and phone numbers, leftmost and non-overlapping for each kind;
     spans: those and the terms that disclose them, sorted by start, then kind. Spans are (start, rank, kind, end,
     match), in code points. Null text counts as empty and has none. Repeated rows are found each; extra columns
-    stay, their names given way to.
+    stay, their names given way to. An empty table stays empty.
+
+    Texts are known by a 64-bit hash; entities and words of the texts that have any leave them without the text.
     """
-    base, spans, row = fresh(docs, "base", "spans", "row")
-    found = docs.withColumn(base, base_spans(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    base, spans, row, more = fresh(docs, "base", "spans", "row", "more")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    mark = F.xxhash64(text, F.sha2(text, 256))  # of a text: its terms are the same in every copy
-    held = written(docs.select(text.alias("text")).select("text", F.explode(base_spans(F.col("text"))).alias("s")).select("text", F.col("s.kind").alias("kind"), F.lower("s.match").alias("value")), "held")
-    risky = disclosing_terms(held, docs.select(text.alias("text")), part).groupBy("t").agg(F.collect_set("term").alias("terms"))  # at most the words of a text
-    cut = held.select(F.xxhash64("text").alias("t"), "text").dropDuplicates(["t"]).join(risky, "t").select(F.xxhash64("text", F.sha2("text", 256)).alias(row), "text", "terms")
-    cut = cut.select(row, "terms", F.posexplode(F.arrays_zip(F.split("text", WORD, -1).alias("g"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("m"))).alias("i", "x"))
-    parts = cut.select(row, "i", (F.length("x.g") + F.coalesce(F.length("x.m"), F.lit(0))).alias("n"), F.when(F.array_contains("terms", F.lower("x.m")), F.col("x.m")).alias("m"))
-    to = Window.partitionBy(row).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    word = parts.withColumn("end", F.sum("n").over(to).cast("int")).where("m is not null")
-    rank = F.lit(len(KINDS))
-    one = F.struct((F.col("end") - F.length("m")).alias("start"), rank.alias("rank"), F.lit("term").alias("kind"), F.col("end").alias("end"), F.col("m").alias("match"))
-    added = word.groupBy(row).agg(F.collect_list(one).alias("more"))
+    mark = F.xxhash64(text)
+    found = docs.withColumn(base, base_spans(text))
+    texts = docs.select(mark.alias("t"), text.alias("text"))
+    held = texts.select("t", F.explode(base_spans(F.col("text"))).alias("s")).select("t", F.col("s.kind").alias("kind"), F.lower("s.match").alias("value"))
+    held = written(held.distinct(), "held")
+    hint = "|".join(f"(?:{h})" for h in HINT.values())
+    asked = texts.where(F.col("text").rlike(hint)).join(held.select("t").distinct(), "t", "left_semi").dropDuplicates(["t"])
+    places = written(asked.select("t", F.explode(_cut(F.col("text"), WORD)).alias("w")).select("t", F.lower("w.match").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.col("w.match").alias("match")), "words")
+    telling = disclosing_terms(held, places.select("t", "term"), texts, part)
+    one = F.struct("start", F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), "end", "match")
+    added = places.join(telling, ["t", "term"], "left_semi").groupBy(F.col("t").alias(row)).agg(F.collect_list(one).alias(more))  # at most the words of a text
     out = found.withColumn(row, mark).join(added, row, "left")
 
     def apart(s):
         return ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
-    more = F.filter(F.coalesce("more", F.col(base)), lambda s: (s["kind"] == "term") & apart(s))
-    return out.withColumn(spans, F.array_sort(F.concat(F.col(base), more))).select(*docs.columns, base, spans)
+    own = F.filter(F.coalesce(more, F.col(base)), lambda s: (s["kind"] == "term") & apart(s))
+    return out.withColumn(spans, F.array_sort(F.concat(F.col(base), own))).select(*docs.columns, base, spans)
 
 
 def sanitised(text: Column, spans: Column) -> Column:
