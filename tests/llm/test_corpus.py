@@ -517,9 +517,33 @@ def test_sharding(spark):
     assert store.versions() == [1, 2, 3] and store.read().count() == len(rows) + 1 and store.read(2).count() == len(rows)
     with pytest.raises(RuntimeError):
         store.commit([], 2)
+    assert store.read(1).count() == len(rows)
+    counts = {r.shard: r.n for r in sharding.shard_report(store).groupBy("shard", "shard_rows").agg(F.count("*").alias("n")).where("n = shard_rows").collect()}
+    assert sum(counts.values()) == len(rows) + 1
+    store.vacuum(keep=2, age=0.0)
+    assert store.versions() == [2, 3] and store.read(2).count() == len(rows)
+    store.compact(1 << 16, 1 << 12)
+    store.vacuum(keep=1, age=0.0)
+    assert store.versions() == [4] or store.versions() == [3]
+    assert store.read().count() == len(rows) + 1
     assert sharding.shard_report(sharding.sharded(table(spark, []))).count() == 0
 
 
+def test_of_two_writers_one_commits_and_vacuum_spares_the_other(spark, tmp_path):
+    one, two = (sharding.Store(spark, f"file://{tmp_path}/s") for _ in range(2))
+    one.append(table(spark, [(1, "a")], 1))
+    two_now = two.manifest()
+    table(spark, [(2, "b")], 1).write.parquet(f"file://{tmp_path}/s/data/two")  # written, not yet committed
+    one.append(table(spark, [(3, "c")], 1))
+    one.vacuum()
+    files = sharding._counted(spark, f"file://{tmp_path}/s/data/two")
+    with pytest.raises(RuntimeError):
+        two.commit([*two_now["files"], *files], two_now["version"])
+    now = two.manifest()
+    two.commit([*now["files"], *files], now["version"])
+    assert sorted(r.doc_id for r in one.read().collect()) == [1, 2, 3]
+
+
 def test_plan_keeps_every_file_once():
     rng = random.Random(1)
     for n in (0, 1, 5, 300):
