@@ -6,19 +6,25 @@ part of such a table with it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import hadoop_path, remove
+
+__all__ = ["bounded", "folder", "forget", "fresh", "hadoop_path", "joined", "new_path", "remove", "table", "written"]
+
+BATCH = 8 << 20
+
 
 def folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, and on one machine, where it is unset, one below the warehouse."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not given:
-        given = f"file://{tempfile.mkdtemp(prefix='sparkfolio-')}"
-        spark.conf.set("spark.checkpoint.dir", given)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        given = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     return given.rstrip("/")
 
 
@@ -26,9 +32,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder(spark)}/sparkfolio/{name}-{uuid.uuid4().hex}"
 
 
+def bounded(spark: SparkSession) -> None:
+    """Hand rows to Python workers in Arrow batches of at most ``BATCH`` bytes, however long texts are, unless the session says otherwise."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a Parquet table in the shared folder."""
     spark = df.sparkSession
+    bounded(spark)
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -41,18 +55,6 @@ def forget(*tables: DataFrame) -> None:
             remove(df.sparkSession, path)
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    """(file system, path) of Hadoop for ``path``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, p = hadoop_path(spark, path)
-    fs.delete(p, True)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have, whatever extra columns it carries."""
     have = {c.lower() for c in df.columns}
@@ -66,6 +68,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -131,7 +131,7 @@ def shingles(row: np.ndarray, n: int) -> np.ndarray:
     return mix(out + U(k))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``most`` bytes, at least one row each."""
     if not batch.num_rows:
         return
