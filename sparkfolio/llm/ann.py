@@ -3,11 +3,13 @@
 A unit vector is coded as the sum of one codeword from each of M full-dimensional codebooks. Codebooks start as
 k-means over residuals and are then fitted together by least squares; codes are found by beam search. A query's table
 of inner products with all codewords scores a code in M look-ups, divided by the stored norm of its sum. The best
-``rerank`` vectors by that score are compared with the query exactly. Queries and codes meet in packed blocks.
+``rerank`` vectors by that score are compared with the query exactly. Queries and codes meet in packed blocks. Asked for
+exact answers, blocks hold the vectors in place of their codes, and what is compared last is sure to hold the nearest.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,9 @@ from .shared import table, written
 
 #: Vectors that codebooks are fitted on at most (by a hash of the id); every vector is coded.
 SAMPLE = 8192
-BOOKS, WORDS, BEAM, RERANK = 12, 256, 4, 128
+BOOKS, WORDS, BEAM = 32, 64, 4
+#: Vectors compared exactly for each query among RERANK_AT or fewer; among more, as many more as the root of their number.
+RERANK, RERANK_AT = 128, 50_000
 CODE_BLOCK, QUERY_BLOCK = 1 << 16, 256
 
 
@@ -97,23 +101,43 @@ def _coded(model, dim: int):
 _SCORED = "query long, node long, guess float"
 
 
+def _as_given(dim: int):
+    """Unit vectors in place of codes, for exact answers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _unit(batch.column("v"), dim).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(np.ones(len(x), np.float32))], names=["node", "code", "norm"])
+
+    return run
+
+
 def _searched(model, dim: int, rerank: int):
-    """For a row of packed queries and codes: each query's best codes."""
+    """For a row of packed queries and codes: each query's best codes; without a model, codes are vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 ids, nodes = np.array(row["queries"]), np.array(row["nodes"])
-                tables = model.value.tables(_unit(pa.array(row["vectors"]), dim))
-                codes = np.frombuffer(b"".join(row["codes"]), dtype=np.uint8).reshape(len(nodes), -1)
                 order = np.argsort(nodes, kind="stable")
-                nodes, codes, norms = nodes[order], codes[order], np.array(row["norms"], dtype=np.float32)[order]
-                keep = min(rerank, len(nodes))
+                asked = _unit(pa.array(row["vectors"]), dim)
+                blob, norms = b"".join(row["codes"]), np.maximum(np.array(row["norms"], dtype=np.float32)[order], 1e-9)
+                if model is None:
+                    codes = np.frombuffer(blob, dtype=np.float32).reshape(len(nodes), dim)[order]
+                    asked = asked.astype(np.float32)
+                else:
+                    codes = np.frombuffer(blob, dtype=np.uint8).reshape(len(nodes), -1)[order].T.copy()
+                    tables = model.value.tables(asked)
+                nodes, keep = nodes[order], min(rerank, len(nodes))
                 for q in range(len(ids)):
-                    score = np.zeros(len(nodes), dtype=np.float32)
-                    for m in range(codes.shape[1]):
-                        score += tables[m, :, q][codes[:, m]]
-                    score /= np.maximum(norms, 1e-9)
+                    if model is None:
+                        score = codes @ asked[q]
+                    else:
+                        score = np.zeros(len(nodes), dtype=np.float32)
+                        for m in range(len(codes)):
+                            score += tables[m, :, q][codes[m]]
+                    score /= norms
                     best = np.argpartition(-score, keep - 1)[:keep]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(keep, ids[q])), pa.array(nodes[best]), pa.array(score[best])], names=["query", "node", "guess"])
 
@@ -129,14 +153,20 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 5, rerank: int = RERANK) -> DataFrame:
+def reranked(total: int, k: int) -> int:
+    """How many of ``total`` vectors are compared exactly for a query's k nearest."""
+    return max(RERANK, 4 * k, math.ceil(RERANK * math.sqrt(total / RERANK_AT)))
+
+
+def nearest(vectors: DataFrame, queries: Column, k: int = 5, rerank: int | None = None, exact: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest by cosine found for each row where ``queries`` holds.
 
     ``vectors`` has vec_id and embedding. Nearest first, ties to the smaller vec_id, the query's own vec_id left out.
     Rows without vec_id, and vectors that are null, zero or hold null or non-finite components take no part, nor do
     those of another length than most. Rows that share vec_id and vector count once; of one vec_id with different
     vectors, each is a candidate and a query. Of equal vectors the k + 1 smallest ids are looked at, which is enough
-    for any answer. Other columns are not read.
+    for any answer. Other columns are not read. ``rerank`` vectors are compared exactly (``reranked`` says how many by
+    default); with ``exact``, no codes are used and the answers are the nearest.
     """
     v = F.transform("embedding", lambda x: x.cast("double"))
     fine = F.col("vec_id").isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -154,14 +184,19 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, rerank: int = RERAN
     ids = written(few.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))).where(F.col("r") <= k + 1).select("node", "vec_id"), "ids")
     nodes = written(rows.groupBy("node").agg(F.min("v").alias("v")), "nodes")
 
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(SAMPLE).select("v").toArrow()
-    model = rows.sparkSession.sparkContext.broadcast(Quantiser.fit(_unit(sample.column("v").combine_chunks(), dim)))
-    codes = nodes.select("node", "v").mapInArrow(_coded(model, dim), "node long, code binary, norm float")
+    total = nodes.count()
+    rerank = reranked(total, k) if rerank is None else rerank
+    if exact:
+        model, codes = None, nodes.select("node", "v").mapInArrow(_as_given(dim), "node long, code binary, norm float")
+    else:
+        sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(SAMPLE).select("v").toArrow()
+        model = rows.sparkSession.sparkContext.broadcast(Quantiser.fit(_unit(sample.column("v").combine_chunks(), dim)))
+        codes = nodes.select("node", "v").mapInArrow(_coded(model, dim), "node long, code binary, norm float")
     asking = rows.where("asks").select("vec_id", "node").distinct()
     asked = asking.select("node").distinct().join(nodes, "node")
     asked = written(asked.select(F.col("node").alias("query"), "v"), "queries")
 
-    total, n = nodes.count(), asked.count()
+    n = asked.count()
     groups, blocks = -(-total // CODE_BLOCK) or 1, -(-n // QUERY_BLOCK) or 1
     packed = codes.groupBy(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(groups)).alias("group")).agg(F.collect_list(F.struct("node", "code", "norm")).alias("c"))  # about CODE_BLOCK each
     packed = written(packed, "codes").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("block", F.col("c.node").alias("nodes"), F.col("c.code").alias("codes"), F.col("c.norm").alias("norms"))
