@@ -34,6 +34,8 @@ TEMPLATES = {
 }
 WORD = r"[\p{L}\p{N}]++"
 SHINGLE, PART, MISS = 5, 0.8, 1e-4
+#: Templates are looked up on the driver; a table of more of them, or of more characters, is an error.
+MOST, CHARACTERS = 10_000, 64 << 20
 #: A window's share of common shingles when a template is contained: 0.8 * (c / 2) in at most 2c + 0.1c.
 BANDS = math.ceil(math.log(MISS) / math.log(1 - PART * 0.5 / (2 + (1 - PART) * 0.5)))
 
@@ -85,14 +87,30 @@ def _least(hashes: Column) -> Column:
     return F.array(*[one(x) for x in range(BANDS)])
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, part: float = PART) -> DataFrame:
+def given(templates: dict[str, str] | DataFrame) -> dict[str, str]:
+    """Templates by name, from a mapping or a table (license, text); of names with several texts each is kept, as name#2 and so on. Null ones are none."""
+    if isinstance(templates, dict):
+        return templates
+    rows = templates.where("license is not null and text is not null").select("license", F.col("text").cast("string").alias("text"))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("c")).first()
+    if size["n"] > MOST or size["c"] > CHARACTERS:
+        raise ValueError(f"{size['n']} templates of {size['c']} characters are more than {MOST} of {CHARACTERS}")
+    out: dict[str, str] = {}
+    for r in rows.distinct().orderBy("license", "text").collect():
+        k = next(k for k in range(1, MOST + 2) if (f"{r['license']}#{k}" if k > 1 else r["license"]) not in out)
+        out[f"{r['license']}#{k}" if k > 1 else r["license"]] = r["text"]
+    return out
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES, part: float = PART) -> DataFrame:
     """(mark, license, at) of every template contained in a window of a text of ``docs``.
 
+    ``templates`` may be whole licence texts, as a mapping or a table (license, text).
     mark is ``row_mark`` of the document, at the first word of the window. A template is contained if the window
     holds at least ``part`` of its distinct five-word shingles; a template or text of fewer words is one shingle. Null
     and empty texts contain nothing. Equal rows share a mark. Other columns than doc_id and text are not read.
     """
-    spark = docs.sparkSession
+    spark, templates = docs.sparkSession, given(templates)
     known = {k: w for k, t in templates.items() if (w := template_words(t))}
     rows = [(k, _class(_size(w, SHINGLE)), " ".join(w)) for k, w in known.items()]
     own = spark.createDataFrame(rows, "license string, width int, words string").withColumn("shingles", F.array_distinct(shingles(F.col("words"))))
@@ -126,7 +144,7 @@ def row_mark(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"].cast("string"), text, F.crc32(text.cast("binary")))
 
 
-def licensed(docs: DataFrame, templates: dict[str, str] = TEMPLATES, part: float = PART) -> DataFrame:
+def licensed(docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES, part: float = PART) -> DataFrame:
     """The rows and columns of ``docs`` with ``licenses``, the sorted names of the templates found (none: empty)."""
     mark, names = fresh(docs, "mark", "licenses")
     found = scan(docs, templates, part).groupBy(F.col("mark").alias(mark)).agg(F.array_sort(F.collect_set("license")).alias(names))  # at most all templates

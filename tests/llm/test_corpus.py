@@ -275,6 +275,24 @@ def test_licenses_at_the_least_containment(spark):
     assert {r.doc_id: r.licenses for r in got} == want
 
 
+def test_licenses_of_a_table_of_templates_of_all_sizes(spark):
+    """Templates of 1 to 30 shingles, and one of 400, each in contexts of its own with as many shingles lost as may be."""
+    rng = random.Random(23)
+    sizes = [*range(1, 31), 400]
+    templates = {f"t{n}": prose(rng, n + 4, 50_000) for n in sizes}
+    rows = []
+    for n in sizes:
+        w, spare = templates[f"t{n}"].split(), n - -(-4 * n // 5)
+        for k in range(40 if n < 400 else 3):
+            cut = w[:-spare] if k % 2 and spare else w[spare:]
+            rows.append((len(rows), f"{prose(rng, rng.randrange(80), 50_000)} {' '.join(cut)} {prose(rng, rng.randrange(80), 50_000)}", f"t{n}"))
+    given = spark.createDataFrame([*templates.items(), ("none", None), (None, "no name"), ("t1", templates["t1"])], "license string, text string")
+    got = {r.doc_id: r.licenses for r in licenses.licensed(table(spark, [(i, t) for i, t, _ in rows]), given).collect()}
+    assert sum(got[i] == [name] for i, _, name in rows) >= 0.999 * len(rows)
+    twice = licenses.given(spark.createDataFrame([("x", "a"), ("x", "b"), ("x", "a")], "license string, text string"))
+    assert twice == {"x": "a", "x#2": "b"}
+
+
 # --- 5
 
 
@@ -465,6 +483,29 @@ def test_nearest(spark):
     assert hits >= 0.9 * 5 * len(got)
     assert [v for _, v, _ in sorted(got[500])] == [3, 501, 502, 503, 504]
     assert ann.nearest(points.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    sure: dict = {}
+    for r in ann.nearest(points, F.col("vec_id") % 50 == 0, exact=True).collect():
+        sure.setdefault(r.query_id, set()).add(r.vec_id)
+    for q in sure:
+        s = (unit @ unit[q]).round(12)
+        s[q] = -9
+        assert sure[q] == set(np.lexsort((np.arange(900), -s))[:5].tolist())
+
+
+def test_recall_of_codes_among_many_vectors():
+    """Gaussian vectors, the hardest: the nearest are hardly nearer than others, and the reranked are under 1% of all."""
+    x = np.random.default_rng(31).normal(size=(15_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    model = ann.Quantiser.fit(x[:6000])
+    codes, norms = model.encode(x)
+    tables, hits = model.tables(x[:100]), 0
+    for q in range(100):
+        guess = sum(tables[m, :, q][codes[:, m]] for m in range(codes.shape[1])) / norms
+        true = x @ x[q]
+        guess[q] = true[q] = -9
+        hits += len(set(np.argsort(-guess)[: ann.RERANK]) & set(np.argsort(-true)[:5]))
+    assert hits >= 0.98 * 500
+    assert ann.reranked(900, 5) == 128 and ann.reranked(5_000_000, 5) == 1280
 
 
 # --- 7
