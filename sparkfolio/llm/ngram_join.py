@@ -7,8 +7,10 @@ agrees within its allowance. How many segments get allowance 2 is chosen by cost
 verified on the complete sets.
 
 Equal sets are one class before the join. Within an index entry the members are held against the member that
-most entries share; only members that are then still apart meet each other. No link between different components
-is lost, and a group of copies costs rows in proportion to its size.
+most entries share; only members that are then still apart meet each other. An entry of more than ``MANY`` of those, as a
+segment that many texts share makes, is taken apart by another division of the universe: linked sets share an entry of
+that one too, so they meet in both together. No link between different components is lost, and a group of copies costs
+rows in proportion to its size.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ BAND_RATIO = 1.4
 PAIR_COST, REUSE = 20.0, 0.002
 #: 64-bit words of the parity sketch of a set.
 SKETCH = 16
+#: Members of an entry that meet each other at most, and how often a larger one is divided anew before they do.
+MANY, LEVELS = 64, 3
 
 
 class Scheme:
@@ -144,6 +148,21 @@ def _signatures(scheme: Scheme, n: int):
     return run
 
 
+def _divided(scheme: Scheme, n: int, level: int):
+    """(doc_id, keys): index entries of texts' sets in a division of the universe of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes, rows = words(part.column("text"))
+                keys = [scheme.keys(np.unique(mix(shingles(hashes[rows[i] : rows[i + 1]], n) ^ U(level)))) for i in range(part.num_rows)]
+                ends = np.cumsum([0, *map(len, keys)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], names=["doc_id", "keys"])
+
+    return run
+
+
 def _verified(percent: int, n: int):
     def of(texts: pa.Array, i: int) -> np.ndarray:
         return np.unique(shingles(words(texts.slice(i, 1))[0], n))
@@ -189,12 +208,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     some = entries.mapInArrow(only("key", bloom(shared)), "h1 long, key long").distinct().join(shared, "key", "left_semi")
     members = written(some.join(classes.select("h1", "n", "node"), "h1").select("key", "node", "n"), "members")
 
-    # Each member against the one whose entries are shared most.
-    weight = members.groupBy("node").agg(F.count(F.lit(1)).alias("w"))
-    centre = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node", "n")).alias("c"))
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    stars = members.join(written(centre.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("m")), "centres"), "key").where(near & (F.col("node") != F.col("b")))
-    pairs = written(stars.select(F.col("node").alias("a"), "b").distinct(), "pairs")
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -202,24 +216,58 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         return written(both.select("a", "b", "ta", "tb").mapInArrow(_verified(percent, n), "a long, b long"), "links")
 
-    links = verify(pairs)
-    comps = written(components(links), "components")
-
-    # Members of an entry that are still in different components meet each other.
-    named = members.join(comps, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    apart = written(named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "apart")
-    left = written(named.join(apart, "key").join(signed.select(F.col("doc_id").alias("node"), "sketch"), "node"), "left")
-    other = left.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("sketch").alias("s"))
-    differ = reduce(add, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("s")[i])) for i in range(SKETCH)])
-    alike = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
-    rest = left.join(other, (F.col("key") == F.col("k")) & (F.col("comp") < F.col("other")) & near & alike).select(F.col("node").alias("a"), "b")
-    done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = written(rest.distinct().join(done, ["a", "b"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        more = verify(rest)
-        comps = written(components(links.unionByName(more)), "components")
-        forget(more)
-    forget(shared, members, pairs, apart, left, rest, links)
+    def joined() -> DataFrame:
+        return written(components(reduce(DataFrame.unionByName, links)), "components")
+
+    def new(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` that have not been held against each other."""
+        known = [d.select(F.col(x).alias("a"), F.col(y).alias("b")) for d in done for x, y in ("ab", "ba")]
+        return written(reduce(lambda p, d: p.join(d, ["a", "b"], "left_anti"), known, pairs.distinct()), "pairs")
+
+    def check(pairs: DataFrame) -> bool:
+        done.append(pairs)
+        if len(done) > 1 and pairs.isEmpty():
+            return False
+        links.append(verify(pairs))
+        return True
+
+    links: list[DataFrame] = []
+    done: list[DataFrame] = []
+    for level in range(LEVELS + 1):
+        # Each member against the one whose entries are shared most.
+        weight = members.groupBy("node").agg(F.count(F.lit(1)).alias("w"))
+        centre = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node", "n")).alias("c"))
+        centre = written(centre.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("m")), "centres")
+        stars = members.join(centre, "key").where(near & (F.col("node") != F.col("b")))
+        if check(new(stars.select(F.col("node").alias("a"), "b"))):
+            comps = joined()
+
+        # Members of an entry that are still in different components meet each other, or are divided anew.
+        named = members.join(comps, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        apart = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
+        apart = written(apart.select("key", "size"), "apart")
+        few = apart if level == LEVELS else apart.where(F.col("size") <= MANY)
+        left = written(named.join(few.select("key"), "key").join(signed.select(F.col("doc_id").alias("node"), "sketch"), "node"), "left")
+        other = left.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("sketch").alias("s"))
+        differ = reduce(add, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("s")[i])) for i in range(SKETCH)])
+        alike = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+        rest = left.join(other, (F.col("key") == F.col("k")) & (F.col("comp") < F.col("other")) & near & alike).select(F.col("node").alias("a"), "b")
+        if check(new(rest)):
+            comps = joined()
+        many = apart.where(F.col("size") > MANY)
+        if level == LEVELS or many.isEmpty():
+            forget(members, centre, apart, left)
+            break
+        held = written(named.join(many.select("key"), "key").select("key", "node", "n"), "held")
+        ids = held.select("node").distinct()
+        texts = base.where("doc_id is not null").mapInArrow(only("doc_id", bloom(ids)), base.schema)
+        own = texts.mapInArrow(_divided(scheme, n, level + 1), "doc_id long, keys array<long>").select(F.col("doc_id").alias("node"), F.explode("keys").alias("other"))
+        both = held.join(own, "node").select(F.xxhash64("key", "other").alias("key"), "node", "n").distinct()
+        forget(members, centre, apart, left)
+        finer = written(both, "finer")
+        members = written(finer.join(finer.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "key", "left_semi"), "members")
+        forget(held, finer)
+    forget(shared, *done, *links)
     found = classes.select("h1", "h2", F.col("n").alias("size"), "node").join(comps, "node", "left").select("h1", "h2", "size", "node", F.coalesce("comp", "node").alias("comp"))
     same = (whole["h1"] == found["h1"]) & (whole["h2"] == found["h2"]) & (whole["n"] == found["size"])
     return whole.join(found, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"), "node")

@@ -99,9 +99,13 @@ def components(sets, percent):
     return {i: root(i) for i in sets}
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80), (1, 50)])
-def test_jaccard_join_is_exact(spark, texts, n, percent):
-    rows = list(enumerate(texts))
+@pytest.mark.parametrize(("n", "percent", "many"), [(3, 90, 64), (5, 80, 2), (1, 50, 64)])
+def test_jaccard_join_is_exact(spark, monkeypatch, texts, n, percent, many):
+    monkeypatch.setattr(ngram_join, "MANY", many)
+    rng = random.Random(24)
+    shared = prose(rng, 30)  # in texts that are not linked, and in a few that are
+    own = [f"{shared} {prose(rng, 30)}" for _ in range(25)]
+    rows = list(enumerate([*texts, *own, *(f"{t} end" for t in own[:5])]))
     random.Random(1).shuffle(rows)
     got = ngram_join.jaccard_join(table(spark, rows), n, percent).collect()
     sets = sets_of(rows, n)
