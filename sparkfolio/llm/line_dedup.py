@@ -51,6 +51,8 @@ class PerfectHash:
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
         levels = []
+        if len(np.unique(keys)) < len(keys):
+            raise ValueError("keys are not distinct")  # no level would part them
         while len(keys):
             words = max(1, -(-2 * len(keys) // 64))
             at = cls._spot(keys, len(levels), words).astype(np.int64)
@@ -99,9 +101,15 @@ def _lines(least: int):
     return run
 
 
+def _joint(h1: np.ndarray, h2: np.ndarray, salt: int) -> np.ndarray:
+    """One 64-bit key of a line's two hashes."""
+    return h1.view(np.uint64) ^ mix(h2.view(np.uint64) + U(salt))
+
+
 def _shard(table: pa.Table) -> pa.Table:
-    h1, h2 = table.column("h1").to_numpy().view(np.uint64), table.column("h2").to_numpy()
-    keys = h1 ^ mix(h2.view(np.uint64))
+    h1, h2, salt = table.column("h1").to_numpy(), table.column("h2").to_numpy(), 0
+    while len(np.unique(keys := _joint(h1, h2, salt))) < len(keys):  # of two lines that share a key, with the next salt most do not
+        salt += 1
     index = PerfectHash.build(keys)
     at = index.find(keys)
     arrays = []
@@ -109,7 +117,7 @@ def _shard(table: pa.Table) -> pa.Table:
         placed = np.empty(len(keys), dtype=kind)
         placed[at] = values
         arrays.append(placed.tobytes())
-    return pa.table({"shard": [table.column("shard")[0].as_py()], "sizes": [[len(x) for x in index.levels]], "bits": [b"".join(x.tobytes() for x in index.levels)], "prints": [arrays[0]], "counts": [arrays[1]], "firsts": [arrays[2]]}, schema=_INDEX_ARROW)
+    return pa.table({"shard": [table.column("shard")[0].as_py()], "sizes": [[salt, *(len(x) for x in index.levels)]], "bits": [b"".join(x.tobytes() for x in index.levels)], "prints": [arrays[0]], "counts": [arrays[1]], "firsts": [arrays[2]]}, schema=_INDEX_ARROW)
 
 
 _INDEX_ARROW = pa.schema([("shard", pa.int64()), ("sizes", pa.list_(pa.int64())), ("bits", pa.binary()), ("prints", pa.binary()), ("counts", pa.binary()), ("firsts", pa.binary())])
@@ -145,16 +153,17 @@ def _packed(starts: np.ndarray, most: int = 1 << 17):
 
 def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines to drop. Rows come sorted by part, each part's arrays first."""
-    index = prints = firsts = None
+    index = prints = firsts = salt = None
     for batch in batches:
         for row in batch.to_pylist():
             if row["kind"] == 0:
                 words = np.frombuffer(row["a"], dtype=np.uint64)
-                index = PerfectHash(np.split(words, np.cumsum(row["sizes"])[:-1]))
+                salt, sizes = row["sizes"][0], row["sizes"][1:]
+                index = PerfectHash(np.split(words, np.cumsum(sizes)[:-1]))
                 prints, firsts = _longs(row["b"]), _longs(row["d"])
                 continue
             h1, h2, doc = _longs(row["a"]), _longs(row["b"]), _longs(row["c"])
-            at = index.find(h1.view(np.uint64) ^ mix(h2.view(np.uint64)))
+            at = index.find(_joint(h1, h2, salt))
             drop = (at >= 0) & (prints[at] == h2) & (firsts[at] != doc)
             if drop.any():
                 yield pa.RecordBatch.from_arrays([pa.array(h1[drop]), pa.array(h2[drop]), pa.array(doc[drop])], names=["h1", "h2", "doc_id"])

@@ -91,8 +91,8 @@ def mixed(
     So taken (copies * size) differs from the target by about half a document, and no document is taken more than
     ``most`` times. Pass p of a document (from 0) stands where the source has given p * S words and those up to the
     document's middle: positions are those places on the curriculum, one for each copy, and position is the first
-    (null if it is not taken). Of equal rows, each has a middle ``size`` words after that of the one before. Empty texts take nothing; a source without words has target 0; null is a source of its own, the
-    last. Repeated rows count each; equal rows are interchangeable. Reruns agree. mark is the hash by which a row
+    (null if it is not taken). Of equal rows, each has a middle ``size`` words after that of the one before. Empty texts
+    take nothing; a source without words has target 0; null is a source of its own, the last. Repeated rows count each; equal rows are interchangeable. Reruns agree. mark is the hash by which a row
     is found again. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -129,7 +129,10 @@ def takes(docs: DataFrame, **options) -> DataFrame:
 
 
 def curriculum(docs: DataFrame, **options) -> DataFrame:
-    """``mixed``, range-sorted by the first position, with the rows that are not taken last; ``takes`` has the repeats."""
+    """``mixed``, range-sorted by the first position, with the rows that are not taken last; ``takes`` has the repeats.
+
+    Every row of ``docs`` is there, null and empty texts and repeated rows too; extra columns are not; an empty table gives none.
+    """
     return mixed(docs, **options).orderBy(F.col("position").asc_nulls_last(), "mark", "doc_id")
 
 

@@ -168,7 +168,7 @@ def personal_data(docs: DataFrame, part: float = 0.8) -> DataFrame:
 
 
 def sanitised(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by the name of its kind; of overlapping spans, by the first."""
+    """The text with each span replaced by the name of its kind; of overlapping spans, by the first. Null text stays null, a text without spans as it is."""
     init = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, s):

@@ -161,7 +161,11 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` that the classifier does not reject."""
+    """The rows and columns of ``docs`` that the classifier does not reject.
+
+    Null texts are ranked as empty ones and stay null; repeated rows stay or go alike; extra columns stay; without any
+    label every row stays; an empty table stays empty.
+    """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     own = labels.where(~held_out(F.col("doc_id"))).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"))
     taught = base.where("doc_id is not null").mapInArrow(only("doc_id", bloom(own)), base.schema)  # no text moves

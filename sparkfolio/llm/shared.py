@@ -7,15 +7,19 @@ part of such a table with it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.files import hadoop_path, remove
 
-__all__ = ["bounded", "folder", "forget", "fresh", "hadoop_path", "joined", "new_path", "remove", "table", "written"]
+__all__ = ["bounded", "folder", "forget", "fresh", "hadoop_path", "joined", "new_path", "remove", "scratch", "table", "written"]
 
 BATCH = 8 << 20
+#: Paths of tables in the order that they were written in, for ``scratch``.
+_made: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
@@ -44,10 +48,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     bounded(spark)
     path = new_path(spark, name)
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``written`` has made meanwhile, but for the last table: the result of the others."""
+    start = len(_made)
+    yield
+    for path in _made[start:-1]:
+        remove(spark, path)
+    del _made[start:-1]
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables that ``written`` made and that nothing will read again."""
     for df in tables:

@@ -377,7 +377,8 @@ def merged(spans: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """The rows and columns of ``docs``; of each repeated passage all words go but in the smallest doc_id that has it.
 
-    The words that stay of a text that loses any are joined by single spaces.
+    The words that stay of a text that loses any are joined by single spaces. Null texts stay null; rows that share a doc_id
+    lose the same places, and rows without one nothing; extra columns stay, and an empty table stays empty.
     """
     _, spans = repeats(docs, **options)
     drop, key = fresh(docs, "drop", "key")

@@ -544,6 +544,17 @@ def test_perfect_hash():
     keys = np.random.default_rng(3).integers(0, 2**63, 20_000).astype(np.uint64)
     keys = np.unique(keys)
     assert sorted(line_dedup.PerfectHash.build(keys).find(keys)) == list(range(len(keys)))
+    with pytest.raises(ValueError):
+        line_dedup.PerfectHash.build(keys[[0, 1, 0]])
+
+
+def test_lines_that_share_a_key_get_another_salt():
+    import pyarrow as pa
+
+    h2 = np.array([5, 9], dtype=np.int64)
+    h1 = tokens.mix(h2.view(np.uint64)).view(np.int64)  # both joint keys are 0
+    one = line_dedup._shard(pa.table({"shard": [3, 3], "h1": h1, "h2": h2, "n": [2, 2], "first": [1, 1]})).to_pylist()[0]
+    assert one["sizes"][0] == 1 and sorted(np.frombuffer(one["prints"], np.int64)) == [5, 9]
 
 
 # --- 8
