@@ -11,7 +11,7 @@ from sparkfolio.llm.mixing import copied, mixed, places, row_mark
 from sparkfolio.llm.ngram_join import jaccard_join
 from sparkfolio.llm.quality import accepted
 from sparkfolio.llm.sharding import shard_report, sharded
-from sparkfolio.llm.shared import fresh, table, written
+from sparkfolio.llm.shared import forget, fresh, scratch, table, written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,8 +92,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole of ``documents``; of the tables between them only the last stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
