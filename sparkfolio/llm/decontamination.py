@@ -207,8 +207,8 @@ def _joined(docs: DataFrame, pieces: DataFrame, window: int, names: list[str], k
 
 
 def _marked(block, names: list[str], keep: list[str]):
-    """Adds a block's hits to the words marked so far (bits) and to the items found so far; returns columns ``keep``."""
-    text, n_words, n_hit, bits, found = names
+    """The columns ``keep`` with each text's words, hit words and items, by the windows of ``block``."""
+    text, n_words, n_hit, _, found = names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = block.value
@@ -216,20 +216,13 @@ def _marked(block, names: list[str], keep: list[str]):
             for part in slices(batch, text):
                 doc, rows = words(part.column(text), ALPHANUMERIC)
                 begin, win = windows.matches(doc, rows)
-                hit, hits, items = (part.column(c).to_pylist() for c in (n_hit, bits, found))
+                depth = np.bincount(begin, minlength=len(doc) + 1) - np.bincount(begin + windows.size[win], minlength=len(doc) + 1)
+                hit = np.concatenate([[0], np.cumsum(np.cumsum(depth)[: len(doc)] > 0)])
+                items: list = [None] * part.num_rows
                 row = np.searchsorted(rows, begin, "right") - 1
-                order = np.argsort(row, kind="stable")
-                begin, win, row = begin[order], win[order], row[order]
-                cut = np.flatnonzero(np.diff(row, prepend=-1))
-                for a, b in zip(cut, np.append(cut[1:], len(row))[: len(cut)], strict=True):
-                    i = row[a]
-                    n = int(rows[i + 1] - rows[i])
-                    mark = np.unpackbits(np.frombuffer(hits[i], np.uint8), count=n) if hits[i] else np.zeros(n, dtype=np.uint8)
-                    for at, size in zip(begin[a:b] - rows[i], windows.size[win[a:b]], strict=True):
-                        mark[at : at + size] = 1
-                    hits[i], hit[i] = np.packbits(mark).tobytes(), int(mark.sum())
-                    items[i] = sorted({*(items[i] or ()), *(windows.items[k] for k in np.unique(windows.item[win[a:b]]))})
-                new = {n_words: pa.array(np.diff(rows), pa.int64()), n_hit: pa.array(hit, pa.int64()), bits: pa.array(hits, pa.binary()), found: pa.array(items, pa.list_(pa.string()))}
+                for i, k in np.unique(np.stack([row, windows.item[win]]), axis=1).T.tolist():
+                    items[i] = [*(items[i] or ()), windows.items[k]]
+                new = {n_words: pa.array(np.diff(rows), pa.int64()), n_hit: pa.array(hit[rows[1:]] - hit[rows[:-1]], pa.int64()), found: pa.array([x and sorted(set(x)) for x in items], pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([new[c] if c in new else part.column(c) for c in keep], names=keep)
 
     return run
@@ -245,7 +238,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     Extra columns stay, and new names give way to theirs.
     """
     spark = docs.sparkSession
-    names = ["text", *fresh(docs, "n_words", "n_hit", "hits", "items")]
+    names = ["text", *fresh(docs, "n_words", "n_hit", "mark", "items")]
     last = [*(docs.columns if keep is None else keep), names[1], names[2], names[4]]
     docs = docs.withColumn("text", F.col("text").cast("string"))
     given = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
@@ -256,7 +249,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     rows = pieces.orderBy("item", "at", "words").collect()  # at most BLOCK_WORDS words
     block = spark.sparkContext.broadcast(Windows([(r["item"], _words(bytes(r["words"]))) for r in rows], window, SHINGLE))
     zero = F.lit(0).cast("long")
-    out = docs.withColumns({names[1]: zero, names[2]: zero, names[3]: F.lit(None).cast("binary"), names[4]: F.lit(None).cast("array<string>")})
+    out = docs.withColumns({names[1]: zero, names[2]: zero, names[4]: F.lit(None).cast("array<string>")})
     return out.mapInArrow(_marked(block, names, last), out.select(*last).schema), [names[1], names[2], names[4]]
 
 
