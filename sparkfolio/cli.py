@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
-from .operators.discovery import Criteria
-from .operators.embed import WIDTH, HashingEmbedder
+from .config import Settings
+from .operators.embed import HashingEmbedder
 from .operators.search import Request
 from .operators.state import RUNS, STATE, progress
 from .operators.store import Points, Snapshots
@@ -24,13 +25,13 @@ POINTS = (
 
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="sparkfolio")
-    out.add_argument("--store", required=True, help="folder of the points and the state")
-    out.add_argument("--width", type=int, default=WIDTH, help="width of the vectors")
+    out.add_argument("--store", help="folder of the points and the state; default: the session's setting")
+    out.add_argument("--width", type=int, help="width of the vectors; default: the session's setting")
     sub = out.add_subparsers(dest="command", required=True)
     run = sub.add_parser("ingest")
     run.add_argument("--works", required=True, help="metadata as JSON lines")
     run.add_argument("--tei", required=True, help="folder of XML files named by paper")
-    run.add_argument("--max-papers", type=int, default=100_000)
+    run.add_argument("--max-papers", type=int, help="default: the session's setting")
     run.add_argument("--resume", action="store_true")
     sub.add_parser("progress")
     find = sub.add_parser("search")
@@ -55,18 +56,21 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("sparkfolio").getOrCreate()
-    points, state = Points(spark, f"{args.store}/points", POINTS, args.width), Snapshots(spark, f"{args.store}/state", STATE)
-    embedder = HashingEmbedder(args.width)
+    settings = Settings.of(spark)
+    settings = replace(settings, **{k: v for k in ("store", "width", "max_papers") if (v := getattr(args, k, None)) is not None})
+    args.store = settings.store
+    points, state = Points(spark, f"{args.store}/points", POINTS, settings.width, settings.buckets), Snapshots(spark, f"{args.store}/state", STATE)
+    embedder = HashingEmbedder(settings.width)
     if args.command == "ingest":
         works = readers.works(spark, args.works)
         files = readers.tei(spark, args.tei).withColumnRenamed("paper_id", "work_id")
-        job = Ingest(embedder, points, state, runs=Snapshots(spark, f"{args.store}/runs", RUNS))
+        job = Ingest(embedder, points, state, runs=Snapshots(spark, f"{args.store}/runs", RUNS), chars=settings.chunk_chars)
         if args.resume:
             from .operators.discovery import discover
 
-            job.resume(discover(works, Criteria()), files)
+            job.resume(discover(works, replace(settings.criteria(), max_papers=0)), files)
         else:
-            job.run(works, files, Criteria(max_papers=args.max_papers))
+            job.run(works, files, settings.criteria())
     if args.command == "evaluate":
         own = Evaluation(points.read(), embedder, args.queries_per_paper, args.top_k, args.seed)
         other = spark.read.parquet(args.other) if args.other else None

@@ -8,7 +8,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.chunk import chunk
+from ..operators.chunk import CHARS, chunk
 from ..operators.discovery import Criteria, discover
 from ..operators.embed import Embedder
 from ..operators.extract import extract
@@ -18,7 +18,7 @@ from ..sources.extractor import Delete, discard
 from ..sources.files import remove
 
 
-def chunks_of(sections: DataFrame, chars: int = 1000) -> DataFrame:
+def chunks_of(sections: DataFrame, chars: int = CHARS) -> DataFrame:
     """Chunks of extracted sections, under the names that points have."""
     out = chunk(sections, ["paper_id", "section_key", "section_type", "section_order"], "content", chars)
     return out.withColumnRenamed("section_key", "section").drop("chunk_len")
@@ -32,8 +32,8 @@ class Ingest:
     after it, whatever became of the papers.
     """
 
-    def __init__(self, embedder: Embedder, points: Points, state: Snapshots, mode: str = "replace", runs: Snapshots | None = None, delete: Delete | None = None):
-        self.embedder, self.points, self.state, self.mode, self.runs, self.delete = embedder, points, state, mode, runs, delete
+    def __init__(self, embedder: Embedder, points: Points, state: Snapshots, mode: str = "replace", runs: Snapshots | None = None, delete: Delete | None = None, chars: int = CHARS):
+        self.embedder, self.points, self.state, self.mode, self.runs, self.delete, self.chars = embedder, points, state, mode, runs, delete, chars
 
     def run(self, works: DataFrame, files: DataFrame, criteria: Criteria = Criteria(), landed: DataFrame | None = None) -> DataFrame:
         """The new state. Papers already embedded count against ``max_papers`` and are skipped."""
@@ -76,7 +76,7 @@ class Ingest:
     def _process(self, papers: DataFrame, files: DataFrame, no_file: str | None, no_text: str | None) -> DataFrame:
         tei = files.where("tei is not null").join(papers.select("work_id"), "work_id", "left_semi").select(F.col("work_id").alias("paper_id"), "tei")
         sections = self._staged(extract(tei), "sections")
-        chunks = self._staged(chunks_of(sections), "chunks")
+        chunks = self._staged(chunks_of(sections, self.chars), "chunks")
         self.points.merge(payload(self.embedder.embed(chunks, "chunk_text"), papers.drop("stage")), self.mode)
         n_sections = sections.groupBy("paper_id").agg(F.count(F.lit(1)).cast("int").alias("num_sections"))
         n_chunks = chunks.groupBy("paper_id").agg(F.count(F.lit(1)).cast("int").alias("num_chunks"))

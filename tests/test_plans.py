@@ -17,7 +17,7 @@ from sparkfolio.plans.catalogue import ORACLE, QUERIES
 from sparkfolio.plans.evaluation import Evaluation, evaluate, save, summary
 from sparkfolio.plans.ingest import Ingest
 from sparkfolio.service import Service
-from sparkfolio.sources import extractor, files, readers
+from sparkfolio.sources import extractor, files, index, readers
 from sparkfolio.streaming.ingest import stream_points
 
 SF = "/root/testdata/sf0.001"
@@ -219,3 +219,31 @@ def test_command_line(spark, tmp_path, capsys):
     cli.main([*store, "evaluate", "all", "--output", f"file://{tmp_path}/out.json"], spark)
     assert json.loads((tmp_path / "out.json").read_text())["retrieval"]["ALL"]["total"] > 0
     assert "recall@1" in capsys.readouterr().out
+
+
+def test_papers_of_a_live_index(spark):
+    def fetch(query, part, parts, after, size):
+        assert query["min_year"] == 2015 and query["has_file"] and "best_locations" in query["fields"] and len(query["fields"]) == 9
+        own = [i for i in range(100) if i % parts == part and i > (-1 if after is None else after)]
+        page = own[:size]
+        docs = [{"work_id": f"W{i}", "title": f"T{i}", "publication_year": 2020, "cited_by_count": i, "language": "en", "best_locations": [{"pdf_url": f"http://h/{i}", "source_id": "s", "display_name": "J"}], "other": 1} for i in page]
+        return docs, page[-1] if len(own) > size else None
+
+    works = index.works_of_index(spark, fetch, parts=3, page=7)
+    assert works.count() == 100 and works.columns == [f.name for f in spark.createDataFrame([], readers.WORKS).schema]
+    assert sorted(r.work_id for r in discover(works).collect()) == sorted(f"W{i}" for i in range(10, 100))
+    assert index.works_of_index(spark, lambda *_: ([], None)).count() == 0
+
+
+def test_settings(spark):
+    from sparkfolio.config import Settings
+
+    assert Settings.of(spark, {}) == Settings() and Settings().criteria().min_year == 2015
+    spark.conf.set("spark.sparkfolio.width", "32")
+    try:
+        got = Settings.of(spark, {"SPARKFOLIO_WIDTH": "64", "SPARKFOLIO_MIN_YEAR": "2001", "SPARKFOLIO_STORE": "s"})
+        assert (got.width, got.min_year, got.store, got.language) == (32, 2001, "s", "en")
+        with pytest.raises(ValueError):
+            Settings.of(spark, {"SPARKFOLIO_MIN_YEAR": "soon"})
+    finally:
+        spark.conf.unset("spark.sparkfolio.width")
