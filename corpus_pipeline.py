@@ -37,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ids = marked.groupBy(mark).agg(F.min("doc_id").alias("id"))
     groups = written(groups.join(ids, mark), "groups")
     best = groups.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", mark))[mark].alias(least), F.count(F.lit(1)).alias("size"))
-    gone = groups.join(best.where("size > 1").select("comp", least), "comp").where(F.col(mark) != F.col(least))
+    best = written(best.where("size > 1").select("comp", least), "best")  # so that the join by component can split a large one
+    gone = groups.join(best, "comp").where(F.col(mark) != F.col(least))
     again = groups.where("n > 1").join(gone.select(mark), mark, "left_anti")
     touched = written(gone.select(F.col(mark).alias(least), F.lit(0).alias(kind)).unionByName(again.select(F.col(mark).alias(least), F.lit(1).alias(kind))), "touched")
     bits = bloom(touched)
