@@ -35,6 +35,8 @@ FUNCTIONS = 2
 _SEEDS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * U(0x9FB21C651E98DF25))
 #: Tokens of texts that a task keeps for the next pairs.
 KEPT = 1 << 21
+#: Rows that a task gives at once, about.
+ROWS = 20_000
 
 
 def equal_run(least: int, similarity: float) -> int:
@@ -270,9 +272,15 @@ def _verified(least: int, similarity: float, first: bool):
                 kept[doc] = shingles(words(texts.slice(i, 1))[0], SHINGLE)
             return kept[doc]
 
+        def rows(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), *[pa.int64()] * 4), strict=True)], names=["kind", "doc_id", "x", "y", "other"])
+
         for batch in batches:
-            out = []
+            out: list[tuple] = []
             for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
+                if len(out) > ROWS:
+                    yield rows(out)
+                    out = []
                 right = tokens(b, batch.column("tb"), i)
                 left = right if a == b else shingles(words(batch.column("ta").slice(i, 1))[0], SHINGLE)
                 spots = batch.column("places")[i].values
@@ -305,7 +313,7 @@ def _verified(least: int, similarity: float, first: bool):
                             out += [(1, a, _hashed(int(keys[k]), pos - int(at[k]), side, int(left[pos])), int(at[k]), b) for side, pos in _partings(len(left), mine, sides) for k in inside]
                         todo = todo[at[todo] >= max(mine[1], here + 1)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), *[pa.int64()] * 4), strict=True)], names=["kind", "doc_id", "x", "y", "other"])
+                yield rows(out)
 
     return run
 
