@@ -31,8 +31,12 @@ from .tokens import U, mix, shingles, slices, words
 BAND_RATIO = 1.4
 #: Cost of verifying one chance pair, in units of handling one key; odds that a document has a given foreign shingle.
 PAIR_COST, REUSE = 20.0, 0.002
+#: Index entries that a plan may give a set, times the fewest: they are written and moved, so more documents must not ask for more of them.
+MOST = 1.25
 #: 64-bit words of the parity sketch of a set.
 SKETCH = 16
+#: Bytes of text whose index entries are grouped and filtered at once.
+AT_ONCE = 1 << 30
 
 
 class Scheme:
@@ -59,15 +63,20 @@ class Scheme:
             differ = self.differ(top, top * 100 // self.percent)
             spare = math.ceil(1.5 * differ * math.exp(-low / (differ + 1)))
             most = (differ + 1) // 2
-            choices = {most * i // 16 for i in range(17)}
-            self.plans[band] = min((self._cost(low, differ + 1 + spare, two), differ + 1 + spare - two, two, spare) for two in choices)[1:] if differ else (0, 0, 0)
+            entries = {two: self._entries(low, differ + 1 + spare, two) for two in {most * i // 16 for i in range(17)}}
+            few = [two for two, n in entries.items() if n <= MOST * min(entries.values())]
+            self.plans[band] = min((self._cost(low, differ + 1 + spare, two), differ + 1 + spare - two, two, spare) for two in few)[1:] if differ else (0, 0, 0)
         return self.plans[band]
 
+    def _entries(self, size: int, allowance: int, two: int) -> float:
+        m = allowance - two
+        return (m - two) + two * (max(size / m, 1.0) + 1)
+
     def _cost(self, size: int, allowance: int, two: int) -> float:
         m = allowance - two
         per = max(size / m, 1.0)
         chance = (m - two) * REUSE**per + two * (per + 1) * REUSE ** max(per - 1, 0)
-        return (m - two) + two * (per + 1) + self.documents / 2 * chance * PAIR_COST
+        return self._entries(size, allowance, two) + self.documents / 2 * chance * PAIR_COST
 
     def keys(self, hashes: np.ndarray) -> np.ndarray:
         """Index entries of a set, given as its sorted distinct shingle hashes.
@@ -115,30 +124,34 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _signatures(scheme: Scheme, n: int):
+def _signatures(scheme: Scheme, n: int, runs: int):
+    """Facts and the index entries of every text; entries are dealt over ``runs`` columns by their value, so that one can be read without the others."""
+    cuts = _cuts(runs)[1:-1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 hashes, rows = words(part.column("text"))
-                size, one, two, keys, sketch = [], [], [], [], []
+                size, one, two, keys, sketch = [], [], [], [[] for _ in range(runs)], []
                 for i in range(part.num_rows):
                     s = np.unique(shingles(hashes[rows[i] : rows[i + 1]], n))
                     size.append(len(s))
                     one.append(mix(s).sum(dtype=np.uint64) if len(s) else 0)
                     two.append(mix(s ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) if len(s) else 0)
-                    keys.append(scheme.keys(s).view(np.int64))
+                    own = scheme.keys(s)
+                    for held, some in zip(keys, np.split(own, np.searchsorted(own, cuts)), strict=True):
+                        held.append(some.view(np.int64))
                     sketch.append(parities(s))
-                ends = np.cumsum([0, *map(len, keys)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(size, pa.int64()),
                         pa.array(np.array(one, dtype=np.uint64).view(np.int64)),
                         pa.array(np.array(two, dtype=np.uint64).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * SKETCH, pa.int32()), pa.array(np.concatenate(sketch))),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(sketch) + 1) * SKETCH, pa.int32()), pa.array(np.concatenate(sketch))),
+                        *(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, held)]), pa.int32()), pa.array(np.concatenate(held))) for held in keys),
                     ],
-                    names=["doc_id", "n", "h1", "h2", "keys", "sketch"],
+                    names=["doc_id", "n", "h1", "h2", "sketch", *(f"keys{k}" for k in range(runs))],
                 )
 
     return run
@@ -178,23 +191,36 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scheme = Scheme(percent, docs.count())
-    signed = written(base.mapInArrow(_signatures(scheme, n), "doc_id long, n long, h1 long, h2 long, keys array<long>, sketch array<long>"), "signatures")
+    documents, size = base.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    runs = max(1, -(-(size or 0) // AT_ONCE))
+    kinds = ["doc_id long", "n long", "h1 long", "h2 long", "sketch array<long>", *(f"keys{k} array<long>" for k in range(runs))]
+    full = written(base.mapInArrow(_signatures(Scheme(percent, documents), n, runs), ", ".join(kinds)), "signatures")
+    signed = written(full.select("doc_id", "n", "h1", "h2", "sketch"), "sketches")
     # A set is known by h1 here (two sets share it with odds of 2**-64), and by its smallest doc_id from members on.
     whole = signed.select("doc_id", "n", "h1", "h2")
     classes = written(whole.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("node")).where("node is not null"), "classes")
-    entries = signed.where("n > 0").select("h1", F.explode("keys").alias("key"))
-    shared = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "shared")
-    # Copies are one row before the join by key, so that this join's large partitions can be split.
-    some = entries.mapInArrow(only("key", bloom(shared)), "h1 long, key long").distinct().join(shared, "key", "left_semi")
-    members = written(some.join(classes.select("h1", "n", "node"), "h1").select("key", "node", "n"), "members")
+    runs_of = []
+    for k in range(runs):  # all entries at once would take more disk than the texts, and more keys than the filter tells apart
+        entries = full.where("n > 0").select("h1", F.explode(f"keys{k}").alias("key"))
+        shared = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "shared")
+        # Copies are one row before the join by key, so that this join's large partitions can be split.
+        some = entries.mapInArrow(only("key", bloom(shared)), "h1 long, key long").distinct().join(shared, "key", "left_semi")
+        runs_of.append(written(some.join(classes.select("h1", "n", "node"), "h1").select("key", "node", "n"), "members"))
+        forget(shared)
+    members = reduce(DataFrame.unionByName, runs_of)
+    forget(full)
 
     # Each member against the one whose entries are shared most.
     weight = members.groupBy("node").agg(F.count(F.lit(1)).alias("w"))
     centre = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node", "n")).alias("c"))
     near = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    stars = members.join(written(centre.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("m")), "centres"), "key").where(near & (F.col("node") != F.col("b")))
-    pairs = written(stars.select(F.col("node").alias("a"), "b").distinct(), "pairs")
+    centre = written(centre.select("key", F.col("c.node").alias("b"), F.col("c.n").alias("m")), "centres")
+    stars = members.join(centre, "key").where(near & (F.col("node") != F.col("b"))).select(F.col("node").alias("a"), "b", "n", "m").distinct()
+    # Chance pairs grow with the square of the documents: sketches drop them before any text is read.
+    differ = reduce(add, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("s")[i])) for i in range(SKETCH)])
+    alike = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+    stars = stars.join(signed.select(F.col("doc_id").alias("a"), "sketch"), "a").join(signed.select(F.col("doc_id").alias("b"), F.col("sketch").alias("s")), "b")
+    pairs = written(stars.where(alike).select("a", "b").distinct(), "pairs")
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -210,8 +236,6 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     apart = written(named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "apart")
     left = written(named.join(apart, "key").join(signed.select(F.col("doc_id").alias("node"), "sketch"), "node"), "left")
     other = left.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("sketch").alias("s"))
-    differ = reduce(add, [F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("s")[i])) for i in range(SKETCH)])
-    alike = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
     rest = left.join(other, (F.col("key") == F.col("k")) & (F.col("comp") < F.col("other")) & near & alike).select(F.col("node").alias("a"), "b")
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = written(rest.distinct().join(done, ["a", "b"], "left_anti"), "pairs")
@@ -219,7 +243,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         more = verify(rest)
         comps = written(components(links.unionByName(more)), "components")
         forget(more)
-    forget(shared, members, pairs, apart, left, rest, links)
+    forget(members, centre, pairs, apart, left, rest, links)
     found = classes.select("h1", "h2", F.col("n").alias("size"), "node").join(comps, "node", "left").select("h1", "h2", "size", "node", F.coalesce("comp", "node").alias("comp"))
     same = (whole["h1"] == found["h1"]) & (whole["h2"] == found["h2"]) & (whole["n"] == found["size"])
     return whole.join(found, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"), "node")

@@ -43,13 +43,29 @@ def bounded(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH))
 
 
+@contextmanager
+def _freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the query that made them ends; else they stay until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a Parquet table in the shared folder."""
     spark = df.sparkSession
     bounded(spark)
     path = new_path(spark, name)
     _made.append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    with _freed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("sparkfolio.llm")
 
-from sparkfolio.llm import ann, decontamination, licenses, line_dedup, mixing, ngram_join, pii, quality, sharding, substring_dedup, tokens  # noqa: E402
+from sparkfolio.llm import ann, decontamination, licenses, line_dedup, mixing, ngram_join, pii, quality, sharding, shared, substring_dedup, tokens  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, mark string, shard string"
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -133,6 +135,35 @@ def test_scheme_misses_no_pair():
             assert np.bitwise_count((ngram_join.parities(a) ^ ngram_join.parities(b)).view(np.uint64)).sum() <= len(a) + len(b) - 2 * both
 
 
+def test_entries_of_a_set_do_not_grow_with_the_documents():
+    s = np.unique(np.random.default_rng(5).integers(0, 2**63, 500).astype(np.uint64))
+    few, many = (len(ngram_join.Scheme(80, n).keys(s)) for n in (100, 10**8))
+    assert many <= 1.5 * few
+
+
+def test_jaccard_join_by_runs_of_entries(spark, texts, monkeypatch):
+    rows, verified = list(enumerate(texts)), []
+    monkeypatch.setattr(ngram_join, "AT_ONCE", sum(len((t or "").encode()) for t in texts) // 3)
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: verified.append(name) or shared.written(df, name))
+    got = ngram_join.jaccard_join(table(spark, rows), 5, 80).collect()
+    want = components(sets_of(rows, 5), 80)
+    assert {r.doc_id: r.component_id for r in got} == want and verified.count("members") > 2
+
+
+def test_shuffle_files_go_with_the_query_that_made_them(spark):
+    def files():
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {p for d in folders for p in Path(d.getPath()).rglob("shuffle_*.data")}
+
+    before = files()
+    got = shared.written(spark.range(1000).groupBy(F.col("id") % 7).agg(F.count(F.lit(1)).alias("n")), "counts")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and got.count() == 7
+
+
 # --- 2
 
 
