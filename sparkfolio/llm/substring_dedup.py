@@ -37,6 +37,10 @@ _SEEDS = mix(np.arange(1, FUNCTIONS + 1, dtype=np.uint64) * U(0x9FB21C651E98DF25
 KEPT = 1 << 21
 #: Rows that a task gives at once, about.
 ROWS = 20_000
+#: Pairs of texts that are verified at once within a task.
+PAIRS = 256
+#: Words of texts, counted for each place in them, from which on the members left meet in one job instead of one a round.
+FEW = 1 << 25
 
 
 def equal_run(least: int, similarity: float) -> int:
@@ -318,6 +322,58 @@ def _verified(least: int, similarity: float, first: bool):
     return run
 
 
+def _settled(least: int, similarity: float):
+    """For places of keys with their texts, (key, doc_id, c, text) in order of the keys: the stretches of all rounds to come.
+
+    A later key is made of the one that led there, so members of different keys never meet again.
+    """
+    verify = _verified(least, similarity, False)
+
+    def pairs(places: set[tuple[int, int, int]], texts: dict[int, dict[str, None]]) -> Iterator[pa.RecordBatch]:
+        lead: dict[int, tuple[int, int]] = {}
+        last: dict[int, int] = {}
+        for key, doc, c in places:
+            lead[key] = min(lead.get(key, (doc, c)), (doc, c))
+            last[key] = max(last.get(key, doc), doc)
+        met: dict[tuple[int, int], list[dict[str, int]]] = {}
+        for key, doc, c in sorted(places):
+            b, cb = lead[key]
+            if b != last[key] and (doc, c) != (b, cb):
+                met.setdefault((doc, b), []).append({"ca": c, "cb": cb, "key": key})
+        rows = [(a, b, met[a, b], ta, tb) for a, b in sorted(met) for ta in texts[a] for tb in texts[b]]
+        spots = pa.list_(pa.struct([("ca", pa.int64()), ("cb", pa.int64()), ("key", pa.int64())]))
+        for k in range(0, len(rows), PAIRS):
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows[k : k + PAIRS], strict=True), (pa.int64(), pa.int64(), spots, pa.string(), pa.string()), strict=True)], names=["a", "b", "places", "ta", "tb"])
+
+    def settle(places: set[tuple[int, int, int]], texts: dict[int, dict[str, None]]) -> Iterator[pa.RecordBatch]:
+        while places:
+            left: set[tuple[int, int, int]] = set()
+            for out in verify(pairs(places, texts)):
+                parted = out.column("kind").to_numpy() == 1
+                left.update(zip(*(out.column(c).to_numpy()[parted].tolist() for c in ("x", "doc_id", "y")), strict=True))
+                if not parted.all():
+                    yield out.filter(pa.array(~parted))
+            places = left
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places: set[tuple[int, int, int]] = set()
+        texts: dict[int, dict[str, None]] = {}
+        size, last = 0, None
+        for batch in batches:
+            for k, (key, doc, c) in enumerate(zip(*(batch.column(x).to_pylist() for x in ("key", "doc_id", "c")), strict=True)):
+                if key != last and size > KEPT:
+                    yield from settle(places, texts)
+                    places, texts, size = set(), {}, 0
+                last, text = key, batch.column("text")[k].as_py()
+                if text is not None and text not in texts.setdefault(doc, {}):
+                    texts[doc][text] = None
+                    size += len(text)
+                places.add((key, doc, c))
+        yield from settle(places, texts)
+
+    return run
+
+
 def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Passages of at least ``least_words`` words that another document repeats.
 
@@ -349,6 +405,14 @@ def repeats(docs: DataFrame, least_words: int = LEAST_WORDS, similarity: float =
     while True:
         ends = members.groupBy("key").agg(F.min(F.struct("doc_id", "c")).alias("rep"), F.max("doc_id").alias("hi")).where("rep.doc_id <> hi")
         ends = written(ends.select("key", F.col("rep.doc_id").alias("b"), F.col("rep.c").alias("cb")), "representatives")
+        if found:
+            again = members.join(ends.select("key"), "key")
+            if (again.join(sizes.select("doc_id", "n_words"), "doc_id").agg(F.sum("n_words")).first()[0] or 0) <= FEW:
+                texts_of = own.mapInArrow(only("doc_id", bloom(again.select("doc_id"))), base.schema)
+                rest = again.join(texts_of, "doc_id").select("key", "doc_id", "c", "text").repartition("key").sortWithinPartitions("key")
+                found.append(written(rest.mapInArrow(_settled(least, similarity), "kind int, doc_id long, x long, y long, other long"), "found"))
+                forget(members, ends)
+                break
         by = F.lit(0).cast("long") if not found else F.col("key")  # in the first round, places that several keys lead to are one
         met = members.join(ends, "key").where("doc_id <> b or c <> cb").select(F.col("doc_id").alias("a"), "b", F.col("c").alias("ca"), "cb", by.alias("key")).distinct()
         pairs = written(met.groupBy("a", "b").agg(F.collect_list(F.struct("ca", "cb", "key")).alias("places")), "pairs")  # at most the places of a text

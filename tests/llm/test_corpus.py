@@ -491,6 +491,22 @@ def test_substring_repeats_of_copies_empty_tables_and_long_texts(spark):
         assert sizes.count() == n and spans.count() == 0
 
 
+def test_places_settle_within_a_task():
+    import pyarrow as pa
+
+    common, texts = [f"c{i}" for i in range(30)], {0: [f"c{i}" for i in range(30)] + [f"z{i}" for i in range(40)]}
+    for family in range(5):
+        for i in (1, 2, 3):  # each family leaves the others by its own words, and the rows of a later key leave the first of it
+            texts[3 * family + i] = [*common, *(f"f{family}x{j}" for j in range(40)), *(f"d{family}y{i}w{j}" for j in range(9))]
+    texts[99] = [*common, *(f"alone{j}" for j in range(40))]
+    rows = [(1, doc, 10, " ".join(words)) for doc, words in texts.items()]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["key", "doc_id", "c", "text"])
+    got = [r for out in substring_dedup._settled(46, 0.8)([batch]) for r in out.to_pylist()]
+    assert {r["kind"] for r in got} == {0} and {r["doc_id"] for r in got} == set(texts) - {0, 99}
+    assert all(r["x"] == 0 and r["y"] == 70 and (r["doc_id"] - 1) // 3 == (r["other"] - 1) // 3 for r in got)
+    assert not list(substring_dedup._settled(46, 0.8)([]))
+
+
 # --- 6
 
 
