@@ -3,14 +3,16 @@
 A unit vector is coded as the sum of one codeword from each of M full-dimensional codebooks. Codebooks start as
 k-means over residuals and are then fitted together by least squares; codes are found by beam search. A query's table
 of inner products with all codewords scores a code in M look-ups, divided by the stored norm of its sum. The best
-``rerank`` vectors by that score are compared with the query exactly. Queries and codes meet in packed blocks. Asked for
-exact answers, blocks hold the vectors in place of their codes, and what is compared last is sure to hold the nearest.
+``rerank`` vectors by that score are compared with the query exactly, and then all that may be nearer still: a vector's
+distance to what its code stands for bounds what its score can be wrong by. So the nearest are found whatever the vectors
+are like; where codes tell little (wide vectors, tight clusters), most are compared. Queries go to all groups of vectors.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,12 @@ from .shared import table, written
 #: Vectors that codebooks are fitted on at most (by a hash of the id); every vector is coded.
 SAMPLE = 8192
 BOOKS, WORDS, BEAM = 32, 64, 4
-#: Vectors compared exactly for each query among RERANK_AT or fewer; among more, as many more as the root of their number.
+#: Vectors compared exactly at first for each query among RERANK_AT or fewer; among more, as many more as the root of their number.
 RERANK, RERANK_AT = 128, 50_000
-CODE_BLOCK, QUERY_BLOCK = 1 << 16, 256
+#: A group has so many bytes of vectors at most, and so many vectors at least where there are fewer groups than tasks want.
+GROUP_BYTES, GROUP_LEAST = 32 << 20, 2048
+#: Queries that meet a group at once; cosines that differ by no more count as equal until they are computed as asked.
+TILE, TIE = 64, 1e-12
 
 
 class Quantiser:
@@ -77,6 +82,17 @@ class Quantiser:
             norms.append(np.linalg.norm(x[k : k + 1024] - rest[np.arange(n), top], axis=1))
         return np.concatenate(codes), np.concatenate(norms).astype(np.float32)
 
+    def errors(self, x: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Distances of vectors to what their codes stand for, rounded up."""
+        rest = x.astype(np.float64)
+        for m, c in enumerate(self.books):
+            rest -= c[codes[:, m]]
+        return np.nextafter(np.linalg.norm(rest, axis=1).astype(np.float32), np.float32(np.inf))
+
+    def slack(self) -> float:
+        """What rounding to single precision can change in a unit query's score."""
+        return 2.0**-23 * (len(self.books) + self.books.shape[2] + 8) * (1 + float(np.sqrt(self.norms.max(1)).sum()))
+
     def tables(self, q: np.ndarray) -> np.ndarray:
         """(M, K, queries) inner products."""
         return np.einsum("mkd,qd->mkq", self.books, q.astype(np.float32), optimize=True)
@@ -89,57 +105,100 @@ def _unit(column, dim: int) -> np.ndarray:
 
 
 def _coded(model, dim: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                codes, norms = model.value.encode(_unit(batch.column("v"), dim))
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms)], names=["node", "code", "norm"])
-
-    return run
-
-
-_SCORED = "query long, node long, guess float"
-
-
-def _as_given(dim: int):
-    """Unit vectors in place of codes, for exact answers."""
+    """Unit vectors with their codes, the norms of what these stand for and the distances to it; without a model the vectors alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x = _unit(batch.column("v"), dim).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(np.ones(len(x), np.float32))], names=["node", "code", "norm"])
+            if n := batch.num_rows:
+                x = _unit(batch.column("v"), dim)
+                codes, norms, errors = np.empty((n, 0), np.uint8), np.ones(n, np.float32), np.zeros(n, np.float32)
+                if model is not None:
+                    codes, norms = model.value.encode(x)
+                    errors = model.value.errors(x, codes)
+                packed = [pa.array([r.tobytes() for r in m], pa.binary()) for m in (codes, x)]
+                yield pa.RecordBatch.from_arrays([batch.column("node"), packed[0], pa.array(norms), pa.array(errors), packed[1]], names=["node", "code", "norm", "error", "x"])
 
     return run
 
 
-def _searched(model, dim: int, rerank: int):
-    """For a row of packed queries and codes: each query's best codes; without a model, codes are vectors."""
+_CODED = "node long, code binary, norm float, error float, x binary"
+_SCORED = "query long, node long, score double"
+
+
+class _Group:
+    """Some of the vectors, with their codes."""
+
+    def __init__(self, rows: list[pa.RecordBatch], dim: int):
+        t = pa.Table.from_batches(rows).combine_chunks()
+        self.nodes, self.norms, self.errors = (t.column(c).to_numpy() for c in ("node", "norm", "error"))
+        self.x = np.frombuffer(b"".join(t.column("x").to_pylist()), dtype=np.float64).reshape(-1, dim)
+        self.codes = np.frombuffer(b"".join(t.column("code").to_pylist()), dtype=np.uint8).reshape(len(self.x), -1).T.copy()
+        self.norms = np.maximum(self.norms, 1e-9)
+
+    def best(self, model, asked: np.ndarray, first: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, cosines) for each query: the ``most`` nearest, with those as near as the last of them.
+
+        The ``first`` best by their codes are compared exactly. No vector is nearer than its code says by more than its
+        distance to what the code stands for, so those that may still be among the nearest are known; they are compared too.
+        """
+        n, found = len(self.x), []
+        if model is None:
+            rest = np.ones((len(asked), n), dtype=bool)
+        else:
+            tables, slack = model.tables(asked), model.slack()
+            rest = np.empty((len(asked), n), dtype=bool)
+            for q in range(len(asked)):
+                score = np.zeros(n, dtype=np.float32)
+                for m in range(len(self.codes)):
+                    score += tables[m, :, q][self.codes[m]]
+                keep = min(max(first, most), n)
+                top = np.argpartition(-(score / self.norms), keep - 1)[:keep]
+                true = self.x[top] @ asked[q]
+                floor = np.partition(true, -most)[-most] if keep >= most else -np.inf
+                np.greater_equal(score + self.errors, floor - slack, out=rest[q])
+                rest[q, top] = False
+                found.append((top, true))
+        many = rest.sum(1) > n // 8  # a product with all is faster than picking them
+        every = dict(zip(np.flatnonzero(many).tolist(), asked[many] @ self.x.T, strict=True))
+        for q in range(len(asked)):
+            at = np.flatnonzero(rest[q])
+            true = every[q][at] if q in every else self.x[at] @ asked[q]
+            if found:
+                at, true = np.concatenate([found[q][0], at]), np.concatenate([found[q][1], true])
+            if len(at) > most:
+                near = true >= np.partition(true, -most)[-most] - TIE
+                at, true = at[near], true[near]
+            yield at, true
+
+
+def _searched(model, dim: int, first: int, most: int):
+    """For rows sorted by group, in each the vectors before the queries: what each query finds in each group."""
+    model_of = (lambda: None) if model is None else (lambda: model.value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, group = None, [], None
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, nodes = np.array(row["queries"]), np.array(row["nodes"])
-                order = np.argsort(nodes, kind="stable")
-                asked = _unit(pa.array(row["vectors"]), dim)
-                blob, norms = b"".join(row["codes"]), np.maximum(np.array(row["norms"], dtype=np.float32)[order], 1e-9)
-                if model is None:
-                    codes = np.frombuffer(blob, dtype=np.float32).reshape(len(nodes), dim)[order]
-                    asked = asked.astype(np.float32)
-                else:
-                    codes = np.frombuffer(blob, dtype=np.uint8).reshape(len(nodes), -1)[order].T.copy()
-                    tables = model.value.tables(asked)
-                nodes, keep = nodes[order], min(rerank, len(nodes))
-                for q in range(len(ids)):
-                    if model is None:
-                        score = codes @ asked[q]
-                    else:
-                        score = np.zeros(len(nodes), dtype=np.float32)
-                        for m in range(len(codes)):
-                            score += tables[m, :, q][codes[m]]
-                    score /= norms
-                    best = np.argpartition(-score, keep - 1)[:keep]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(keep, ids[q])), pa.array(nodes[best]), pa.array(score[best])], names=["query", "node", "guess"])
+            numbers, asks = batch.column("number").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero((numbers[1:] != numbers[:-1]) | (asks[1:] != asks[:-1])) + 1).tolist(), len(numbers)]
+            for start, end in pairwise(cuts):
+                if start == end:
+                    continue
+                some = batch.slice(start, end - start)
+                if numbers[start] != number:
+                    number, held, group = numbers[start], [], None
+                if not asks[start]:
+                    held.append(some)
+                    continue
+                if held:
+                    group, held = _Group(held, dim), []
+                if group is None:
+                    continue
+                for k in range(0, some.num_rows, TILE):
+                    tile = some.slice(k, TILE)
+                    asked = np.frombuffer(b"".join(tile.column("x").to_pylist()), dtype=np.float64).reshape(-1, dim)
+                    near = list(group.best(model_of(), asked, first, most))
+                    ids = np.repeat(tile.column("node").to_numpy(), [len(at) for at, _ in near])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(group.nodes[np.concatenate([at for at, _ in near])]), pa.array(np.concatenate([true for _, true in near]))], names=["query", "node", "score"])
 
     return run
 
@@ -165,8 +224,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, rerank: int | None
     Rows without vec_id, and vectors that are null, zero or hold null or non-finite components take no part, nor do
     those of another length than most. Rows that share vec_id and vector count once; of one vec_id with different
     vectors, each is a candidate and a query. Of equal vectors the k + 1 smallest ids are looked at, which is enough
-    for any answer. Other columns are not read. ``rerank`` vectors are compared exactly (``reranked`` says how many by
-    default); with ``exact``, no codes are used and the answers are the nearest.
+    for any answer. Other columns are not read. ``rerank`` vectors are compared exactly at first (``reranked`` says how many
+    by default), then those that the codes do not rule out; with ``exact``, no codes are used.
     """
     v = F.transform("embedding", lambda x: x.cast("double"))
     fine = F.col("vec_id").isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -186,26 +245,22 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, rerank: int | None
 
     total = nodes.count()
     rerank = reranked(total, k) if rerank is None else rerank
-    if exact:
-        model, codes = None, nodes.select("node", "v").mapInArrow(_as_given(dim), "node long, code binary, norm float")
-    else:
+    model = None
+    if not exact:
         sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(SAMPLE).select("v").toArrow()
         model = rows.sparkSession.sparkContext.broadcast(Quantiser.fit(_unit(sample.column("v").combine_chunks(), dim)))
-        codes = nodes.select("node", "v").mapInArrow(_coded(model, dim), "node long, code binary, norm float")
     asking = rows.where("asks").select("vec_id", "node").distinct()
-    asked = asking.select("node").distinct().join(nodes, "node")
-    asked = written(asked.select(F.col("node").alias("query"), "v"), "queries")
-
-    n = asked.count()
-    groups, blocks = -(-total // CODE_BLOCK) or 1, -(-n // QUERY_BLOCK) or 1
-    packed = codes.groupBy(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(groups)).alias("group")).agg(F.collect_list(F.struct("node", "code", "norm")).alias("c"))  # about CODE_BLOCK each
-    packed = written(packed, "codes").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("block", F.col("c.node").alias("nodes"), F.col("c.code").alias("codes"), F.col("c.norm").alias("norms"))
-    lots = asked.groupBy(F.pmod(F.xxhash64("query", F.lit(3)), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("query", "v")).alias("q"))  # about QUERY_BLOCK each
-    lots = lots.select("block", F.col("q.query").alias("queries"), F.col("q.v").alias("vectors"))
-    pairs = lots.join(packed, "block").select("queries", "vectors", "nodes", "codes", "norms").repartition(groups * blocks)
-    guesses = pairs.mapInArrow(_searched(model, dim, rerank), _SCORED)
-    best = Window.partitionBy("query").orderBy(F.desc("guess"), "node")
-    chosen = guesses.withColumn("r", F.row_number().over(best)).where(F.col("r") <= rerank).select("query", "node")
+    asked = written(asking.select("node").distinct().join(nodes, "node").select(F.col("node").alias("query"), "v"), "queries")
+
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    groups = max(-(-total * 8 * dim // GROUP_BYTES), min(tasks, -(-total // GROUP_LEAST)), 1)
+    held = nodes.select("node", "v").mapInArrow(_coded(model, dim), _CODED).select(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(groups)).cast("int").alias("number"), F.lit(False).alias("asks"), "*")
+    lots = asked.select(F.col("query").alias("node"), "v").mapInArrow(_coded(None, dim), _CODED).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("number"), F.lit(True).alias("asks"), "*")
+    met = held.unionByName(lots).repartition(groups, "number").sortWithinPartitions("number", "asks")
+    guesses = met.mapInArrow(_searched(model, dim, max(4 * k, -(-rerank // groups)), k + 1), _SCORED)
+    whole = Window.partitionBy("query").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.coalesce(F.nth_value("score", k + 1).over(whole), F.lit(-2.0))
+    chosen = guesses.withColumn("last", last).where(F.col("score") >= F.col("last") - TIE).select("query", "node")
 
     met = chosen.join(asked.withColumnRenamed("v", "q"), "query").join(nodes, "node")
     exact = written(met.select("query", "node", cosine(F.col("q"), F.col("v")).alias("score")), "scores")

@@ -542,6 +542,27 @@ def test_nearest(spark):
         assert sure[q] == set(np.lexsort((np.arange(900), -s))[:5].tolist())
 
 
+@pytest.mark.parametrize("kind", ["tight", "wide", "apart"])
+def test_nearest_whatever_the_vectors_are_like(spark, kind):
+    """Groups of near copies that share their codes, vectors of many components, and values far from zero."""
+    rng = np.random.default_rng(77)
+    if kind == "tight":
+        x = rng.normal(size=(2, 16))[np.arange(1500) % 2] + 1e-3 * rng.normal(size=(1500, 16))
+    elif kind == "wide":
+        x = rng.normal(size=(1500, 128))
+    else:
+        x = rng.normal(size=(1500, 16)) + 1000
+    points = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in ann.nearest(points, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, 1500, 50):
+        s = 1 - ((unit - unit[q]) ** 2).sum(1) / 2
+        s[q] = -9
+        assert got[q] == np.argsort(-s)[:5].tolist()
+
+
 def test_recall_of_codes_among_many_vectors():
     """Gaussian vectors, the hardest: the nearest are hardly nearer than others, and the reranked are under 1% of all."""
     x = np.random.default_rng(31).normal(size=(15_000, 64))
