@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.vectors import cosine, doubles
 
 OVERFETCH = 5
-#: Of the query vectors that go to all tasks at once; decimal digits of scores.
-BLOCK_BYTES, DIGITS = 16 << 20, 12
+#: Of the query vectors that go to all tasks at once; hits of their queries that a task keeps; decimal digits of scores.
+BLOCK_BYTES, BLOCK_HITS, DIGITS = 16 << 20, 1 << 19, 12
+#: Scores that a task computes at once, and the queries among them.
+CELLS, TILE = 1 << 21, 512
 
 
 @dataclass(frozen=True)
@@ -70,39 +72,53 @@ def results(found: DataFrame) -> DataFrame:
     return found.select(*fields, "score")
 
 
+def _unit_points(table: pa.Table, width: int) -> tuple[pa.Table, np.ndarray]:
+    """The points that have a score with vectors of ``width`` components, and their unit vectors."""
+    table = table.filter(pc.equal(pc.list_value_length(table.column("embedding")), width))
+    x = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    norm = np.linalg.norm(x, axis=1)
+    fine = norm > 0
+    x = x[fine] / norm[fine][:, None]
+    known = ~np.isnan(x).any(1)
+    return table.select(["point_id", "paper_id"]).filter(pa.array(fine)).filter(pa.array(known)), x[known]
+
+
 def _block_scores(ids: pa.Array, vectors: np.ndarray, k: int, skip_own: bool):
-    """For mapInArrow over (point_id, paper_id, embedding): the k best points of a task for each of a block of queries, by one matrix product a batch."""
+    """For mapInArrow over (point_id, paper_id, embedding): the k best points of a task for each of a block of queries.
+
+    Tiles of queries and points meet as matrix products; no more than ``CELLS`` scores are held, however many queries there are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, least = None, np.full(len(vectors), -np.inf)
+        held: dict[int, pa.Table] = {}
+        least = np.full(len(vectors), -np.inf)  # the score of the k-th best so far
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            size = pc.list_value_length(table.column("embedding"))
-            table = table.filter(pc.equal(size, vectors.shape[1]))
-            if not table.num_rows:
-                continue
-            x = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, vectors.shape[1])
-            norm = np.linalg.norm(x, axis=1)
-            fine = norm > 0
-            scores = np.round(vectors @ (x / np.where(fine, norm, 1.0)[:, None]).T, DIGITS)
-            scores[:, ~fine | np.isnan(norm)] = -np.inf
-            if skip_own:
-                own = np.flatnonzero(pc.is_in(table.column("point_id"), ids).to_numpy(zero_copy_only=False))
-                at = pc.index_in(table.column("point_id").take(pa.array(own)), ids).to_numpy(zero_copy_only=False)
-                scores[at, own] = -np.inf
-            cut = least if scores.shape[1] <= k else np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
-            q, row = np.nonzero((scores >= cut[:, None]) & (scores > -np.inf))
-            if not len(q):
-                continue
-            some = table.select(["point_id", "paper_id"]).take(pa.array(row))
-            some = some.append_column("q", pa.array(q)).append_column("score", pa.array(scores[q, row]))
-            held = _best(some if held is None else pa.concat_tables([held, some]), k)
-            n = np.bincount(held.column("q").to_numpy(), minlength=len(vectors))
-            full = np.flatnonzero(n == k)
-            least[full] = held.column("score").to_numpy()[np.cumsum(n)[full] - 1]
-        if held is not None:
-            out = pa.table({"query_id": ids.take(held.column("q").combine_chunks()), "point_id": held.column("point_id"), "paper_id": held.column("paper_id"), "score": held.column("score")})
-            yield from out.combine_chunks().to_batches()
+            for start in range(0, batch.num_rows, CELLS // TILE):
+                points, x = _unit_points(pa.Table.from_batches([batch.slice(start, CELLS // TILE)]), vectors.shape[1])
+                if not len(x):
+                    continue
+                own = pc.fill_null(pc.index_in(points.column("point_id"), ids), -1).to_numpy() if skip_own else None
+                for first in range(0, len(vectors), TILE):
+                    scores, cut = vectors[first : first + TILE] @ x.T, least[first : first + TILE]
+                    if own is not None:
+                        at = np.flatnonzero((own >= first) & (own < first + TILE))
+                        scores[own[at] - first, at] = -np.inf
+                    near = scores >= cut[:, None] - 10.0**-DIGITS
+                    if scores.shape[1] > k and near.sum() > 4 * k * len(cut):
+                        cut = np.maximum(cut, np.partition(scores, -k, axis=1)[:, -k])
+                        near = scores >= cut[:, None] - 10.0**-DIGITS
+                    q, row = np.nonzero(near & (scores > -np.inf))
+                    if not len(q):
+                        continue
+                    some = points.take(pa.array(row)).append_column("q", pa.array(q)).append_column("score", pa.array(np.round(scores[q, row], DIGITS)))
+                    best = held[first] = _best(pa.concat_tables([held[first], some]) if first in held else some, k)
+                    n = np.bincount(best.column("q").to_numpy(), minlength=len(cut))
+                    full = np.flatnonzero(n == k)
+                    least[first + full] = best.column("score").to_numpy()[np.cumsum(n)[full] - 1]
+        for first in sorted(held):
+            best = held.pop(first)
+            named = ids.take(pa.array(best.column("q").to_numpy() + first))
+            yield from pa.table({"query_id": named, "point_id": best.column("point_id"), "paper_id": best.column("paper_id"), "score": best.column("score")}).combine_chunks().to_batches()
 
     return run
 
@@ -118,13 +134,13 @@ def _best(rows: pa.Table, k: int) -> pa.Table:
 def top_points_by_query(queries: DataFrame, points: DataFrame, k: int, skip_own: bool = False) -> DataFrame:
     """(query_id, point_id, paper_id, score, rank) for many queries at once: ``queries`` is (query_id, query).
 
-    Queries go to all tasks in blocks of at most ``BLOCK_BYTES``; for each block the points are scanned once, and a task keeps
+    Queries go to all tasks in blocks of about ``BLOCK_BYTES`` and ``BLOCK_HITS`` hits at most; for each block the points are scanned once, and a task keeps
     the k best of each query. Scores have ``DIGITS`` digits; ties by point_id. Queries and points that are null, zero, or of
     another length than a block's first query have no score. ``skip_own`` leaves out the point whose id is the query's.
     """
     q = queries.select("query_id", doubles(F.col("query")).alias("query")).where("query_id is not null and query is not null and size(query) > 0")
     facts = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("query")).alias("d")).first()
-    blocks = -(-facts["n"] * 8 * (facts["d"] or 1) // BLOCK_BYTES)
+    blocks = max(-(-facts["n"] * 8 * (facts["d"] or 1) // BLOCK_BYTES), -(-facts["n"] * k // BLOCK_HITS))
     kinds = {f.name: f.dataType.simpleString() for f in points.schema}
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, point_id {kinds['point_id']}, paper_id {kinds['paper_id']}, score double"
     own = points.select("point_id", "paper_id", doubles(F.col("embedding")).alias("embedding")).where("embedding is not null and forall(embedding, x -> x is not null)")

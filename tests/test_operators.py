@@ -83,6 +83,31 @@ def test_search(spark):
     assert search.stats(points).first().points_count == 60
 
 
+def test_scores_of_many_queries_in_bounded_memory():
+    """4,000 queries and 4,000 points: 128 MB of scores in all, which are never held at once; results are those of all scores."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(4000, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[77] = x[5]  # a tie, which goes to the smaller id
+    ids = pa.array(np.arange(4000))
+    batch = pa.record_batch({"point_id": ids, "paper_id": pa.array(np.arange(4000) // 10), "embedding": pa.array(list(x))})
+    tracemalloc.start()
+    got = pa.Table.from_batches(search._block_scores(ids, x, 3, True)(iter([batch.slice(0, 2500), batch.slice(2500)])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    own = got.to_pandas()
+    assert len(own) == 12_000 and (own.paper_id == own.point_id // 10).all()
+    scores = np.round(x @ x.T, search.DIGITS)
+    np.fill_diagonal(scores, -9)
+    for q, some in own.groupby("query_id"):
+        assert some.sort_values(["score", "point_id"], ascending=[False, True]).point_id.tolist() == np.lexsort((np.arange(4000), -scores[q]))[:3].tolist()
+
+
 def test_metrics_golden(spark):
     ranks = {"abstract_sentence": [1, 1, 1, 3], "method_phrase": [1, 1, 1, 2], "title": [1, 1, 1, 4]}
     rows = spark.createDataFrame([(k, r) for k, v in ranks.items() for r in v], "query_type string, rank int")
